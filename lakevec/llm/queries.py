@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sharding
+from . import exact_dedup, packing, pieces, sharding
 from .common import table
 
 
@@ -12,13 +12,23 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=8)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_equal_texts(table(spark, sf_dir, "documents"))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op4_packing": op4_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLE_SQL = {
