@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handed to an operator at once; a longer text comes alone.
 SLICE_BYTES = 4 << 20
@@ -12,7 +13,7 @@ SLICE_BYTES = 4 << 20
 
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Consecutive parts of ``batch`` with about SLICE_BYTES of ``column`` each (one row at least)."""
-    sizes = pa.compute.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False)
     start = size = 0
     for i, n in enumerate(sizes):
         if i > start and size + n > SLICE_BYTES:
