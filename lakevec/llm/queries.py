@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, pieces, sharding
+from . import exact_dedup, packing, pieces, sharding, toxicity
 from .common import table
 
 
@@ -16,6 +16,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_equal_texts(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_pieces": op10_pieces,
 }
