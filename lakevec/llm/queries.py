@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, pieces, sharding, toxicity
+from . import exact_dedup, packing, pieces, secrets, sharding, toxicity
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_equal_texts(table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digest_secrets(docs, secrets.fit(docs))
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_tokens(table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_secrets": op9_secrets,
     "op10_pieces": op10_pieces,
 }
 
