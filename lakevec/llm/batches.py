@@ -59,11 +59,12 @@ class Memo(dict):
         self.update(zip(new, self.compute(new), strict=True))
 
 
-_memos: dict = {}
+_memo: dict = {}
 
 
 def process_memo(key: tuple, make: Callable[[], Memo]) -> Memo:
-    """The memo that all tasks of this Python worker share for ``key``."""
-    if key not in _memos:
-        _memos[key] = make()
-    return _memos[key]
+    """The memo that this Python worker's tasks share for ``key``. A worker keeps that of one operator at a time."""
+    if key not in _memo:
+        _memo.clear()
+        _memo[key] = make()
+    return _memo[key]
