@@ -94,9 +94,14 @@ def group_equal_texts(docs: DataFrame, n_rows: int | None = None) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text a row with a smaller doc_id has. Rows without a doc_id stay."""
-    gone = group_equal_texts(docs).where(~F.col("kept")).select("doc_id").where("doc_id IS NOT NULL")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows whose text a row with a smaller doc_id has; of rows that repeat doc_id and text, one stays.
+
+    Rows without a doc_id stay only where no row with their text has one, and then one of them.
+    """
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_key"), F.sha2(common.squeezed(F.col("text")), 256).alias("_sha")]
+    kept = group_equal_texts(docs).where("kept").select(key[0], F.col("text_sha256").alias("_sha"))
+    rows = docs.select(*docs.columns, *key).join(kept, ["_key", "_sha"], "left_semi")
+    return rows.dropDuplicates(["_key", "_sha"]).select(*docs.columns)
 
 
 ORACLE_SQL = r"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, pieces, secrets, sharding, toxicity
+from . import exact_dedup, jaccard, packing, pieces, secrets, sharding, toxicity
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_equal_texts(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secrets": op9_secrets,
     "op10_pieces": op10_pieces,
