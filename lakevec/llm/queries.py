@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, hnsw, jaccard, packing, pieces, secrets, sharding, toxicity
+from . import exact_dedup, hnsw, jaccard, linededup, packing, pieces, secrets, sharding, toxicity
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_equal_texts(table(spark, sf_dir, "documents"))
 
@@ -48,11 +52,13 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_line_dedup": op7_line_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secrets": op9_secrets,
     "op10_pieces": op10_pieces,
 }
 
 ORACLE_SQL = {
+    "op7_line_dedup": linededup.ORACLE_SQL,
     "op8_exact_dedup": exact_dedup.ORACLE_SQL,
 }
