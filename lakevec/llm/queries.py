@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, hnsw, jaccard, linededup, packing, pieces, secrets, sharding, toxicity
+from . import exact_dedup, hnsw, html, jaccard, linededup, packing, pieces, secrets, sharding, toxicity
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search_table(table(spark, sf_dir, "embeddings"), every=20)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_nearest": op2_nearest,
+    "op3_html_text": op3_html_text,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
     "op6_ngram_jaccard": op6_ngram_jaccard,
