@@ -6,8 +6,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+_FLOATS = T.ArrayType(T.FloatType())
+
 
 def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All bytes of a binary array, where each row begins (one entry more), and which rows are null."""
@@ -63,52 +66,52 @@ def _encoded(values: pa.Array, write) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-@arrow_udf("array<float>")
+@arrow_udf(_FLOATS)
 def floats_from_le(values: pa.Array) -> pa.Array:
     return _decoded(values, 4, lambda raw: raw.view("<f4"))
 
 
-@arrow_udf("array<float>")
+@arrow_udf(_FLOATS)
 def floats_from_be(values: pa.Array) -> pa.Array:
     return _decoded(values, 4, lambda raw: raw.view(">f4"))
 
 
-@arrow_udf("array<float>")
+@arrow_udf(_FLOATS)
 def floats_from_half(values: pa.Array) -> pa.Array:
     return _decoded(values, 2, lambda raw: raw.view("<f2"))
 
 
-@arrow_udf("array<float>")
+@arrow_udf(_FLOATS)
 def floats_from_bfloat(values: pa.Array) -> pa.Array:
     return _decoded(values, 2, _bfloat)
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def floats_to_le(values: pa.Array) -> pa.Array:
     return _encoded(values, lambda x: x.astype("<f4"))
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def floats_to_be(values: pa.Array) -> pa.Array:
     return _encoded(values, lambda x: x.astype(">f4"))
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def floats_to_half(values: pa.Array) -> pa.Array:
     return _encoded(values, to_half)
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def floats_to_half_truncated(values: pa.Array) -> pa.Array:
     return _encoded(values, to_half_truncated)
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def floats_to_bfloat(values: pa.Array) -> pa.Array:
     return _encoded(values, to_bfloat)
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def long_to_le(values: pa.Array) -> pa.Array:
     return pa.array([None if v is None else v.to_bytes(8, "little", signed=True) for v in values.to_pylist()], pa.binary())
 
@@ -116,7 +119,7 @@ def long_to_le(values: pa.Array) -> pa.Array:
 _ENTRY = np.dtype([("index", "<u4"), ("value", "<f4")])
 
 
-@arrow_udf("map<bigint,float>")
+@arrow_udf(T.MapType(T.LongType(), T.FloatType()))
 def sparse_from_bytes(values: pa.Array) -> pa.Array:
     """(index u32, value f32) pairs, little-endian, to a map in the order of the indices."""
     out = []
@@ -126,7 +129,7 @@ def sparse_from_bytes(values: pa.Array) -> pa.Array:
     return pa.array(out, pa.map_(pa.int64(), pa.float32()))
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def sparse_to_bytes(values: pa.Array) -> pa.Array:
     return pa.array([None if v is None else np.array(sorted(v), _ENTRY).tobytes() for v in values.to_pylist()], pa.binary())
 
