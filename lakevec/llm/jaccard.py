@@ -18,7 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, signature_tree
@@ -30,6 +31,8 @@ WORDS, NUM, DEN = 5, 75, 100
 BANDS, ROWS = 40, 3
 #: Sets of a neighbourhood, or of the small neighbourhoods dealt to one group, that a task takes at once.
 BLOCK = 1000
+#: Bits of the filter that keeps texts without neighbours from being shuffled (16 MB).
+FILTER_BITS = 1 << 27
 _FACTORS = np.random.default_rng(66).integers(1, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _CHUNK = 4096
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
@@ -85,9 +88,82 @@ def _linker(words: int, num: int, den: int):
     return run
 
 
+def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch one entry (band, class) for each band, that of its smallest class, and an edge from each other class
+    to that one: however many rows share a band, few leave the batch."""
+    for batch in batches:
+        bands = batch.column("bands")
+        band = bands.flatten().to_numpy()
+        node = np.repeat(batch.column("set_a").to_numpy(), bands.value_lengths().to_numpy())
+        yield _grouped(band, node, entries=True)
+
+
+def _grouped(band: np.ndarray, node: np.ndarray, entries: bool) -> pa.RecordBatch:
+    order = np.lexsort((node, band))
+    band, node = band[order], node[order]
+    fresh = np.r_[True, band[1:] != band[:-1]] if len(band) else np.zeros(0, bool)
+    least = node[np.maximum.accumulate(np.where(fresh, np.arange(len(node)), 0))] if len(node) else node
+    a, b = node[node != least], least[node != least]
+    if len(a):
+        a, b = np.unique(np.stack([a, b], 1), axis=0).T
+    columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64())]
+    if not entries:
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+    band, node = band[fresh], node[fresh]
+    columns = [pa.concat_arrays([x, pa.array(y, pa.int64())]) for x, y in zip(columns, (node, node), strict=True)]
+    bands = pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(band, pa.int64())])
+    return pa.RecordBatch.from_arrays([bands, *columns], names=["band", "a", "b"])
+
+
+def _near(rows: DataFrame) -> DataFrame:
+    """Edges (a, b) between classes that share a band, from rows (set_a, bands); the bands are shuffled once."""
+    spark = rows.sparkSession
+    out = rows.mapInArrow(_local, "band long, a long, b long")
+    groups = max(common.shuffle_partitions(spark), 1)
+    out = out.repartition(groups, F.coalesce("band", "a"))
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, nodes = [], []
+        for batch in batches:
+            entry = batch.column("band").is_valid()
+            yield batch.filter(pc.invert(entry)).select(["a", "b"])
+            entries = batch.filter(entry)
+            bands.append(entries.column("band").to_numpy())
+            nodes.append(entries.column("a").to_numpy())
+        if bands:
+            yield _grouped(np.concatenate(bands), np.concatenate(nodes), entries=False)
+
+    return out.mapInArrow(across, "a long, b long")
+
+
+def _perhaps(texts: DataFrame, members: DataFrame, n: int) -> DataFrame:
+    """``texts`` without most of the rows that ``members`` (doc_id) doesn't name, so that they need no shuffle.
+
+    A filter of 16 bits for a member, but no more than FILTER_BITS: with more members it lets more through, which costs
+    time and changes nothing, for a join with ``members`` follows.
+    """
+    bits = min(FILTER_BITS, 1 << max(10, (16 * n).bit_length()))
+    bit = F.pmod(F.xxhash64("doc_id", F.lit("filter")), F.lit(bits))
+    words = members.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("mask"))
+    found = words.toArrow()  # FILTER_BITS / 64 rows at most
+    bitmap = np.zeros(bits // 64, np.uint64)
+    bitmap[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            at = batch.column("_bit").fill_null(0).to_numpy()
+            hit = (known[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(hit == 1)).select(["doc_id", "text"])
+
+    return texts.withColumn("_bit", bit).mapInArrow(test, "doc_id long, text string")
+
+
 def _linked(members: DataFrame, texts: DataFrame, groups: int, linker) -> DataFrame:
     """Edges (label, label) from ``members`` (doc_id, label, task, side), each task whole in one of ``groups``."""
-    rows = members.join(texts, "doc_id").withColumn("_group", F.pmod(F.xxhash64("task"), F.lit(max(1, groups))))
+    # members grow with the data: they are never broadcast
+    rows = members.hint("merge").join(texts, "doc_id").withColumn("_group", F.pmod(F.xxhash64("task"), F.lit(max(1, groups))))
     return rows.groupBy("_group").applyInArrow(_as_group(linker), "a long, b long").distinct()
 
 
@@ -110,18 +186,16 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = common.materialise(texts.mapInArrow(_sketcher(words), SKETCH), "sketches")
     live = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    # 1. classes of equal sets; 2. neighbourhoods: classes that share a band
+    # 1. classes of equal sets; 2. neighbourhoods: classes (by the first half of their digest) that share a band
     classes = live.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("class_id"))
     classes = common.materialise(classes, "classes")
-    first = live.join(classes.select(F.col("class_id").alias("doc_id"), "set_a", "set_b"), ["doc_id", "set_a", "set_b"], "left_semi")
-    entries = first.select("doc_id", F.explode("bands").alias("band"))
-    shared = entries.groupBy("band").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("_most")).where("b < _most").select("band", "b")
-    near = connected_components(entries.join(shared, "band").select(F.col("doc_id").alias("a"), "b"))
-    near = common.materialise(near.withColumnsRenamed({"node": "doc_id", "component": "task"}), "near")
+    near = connected_components(_near(live.select("set_a", "bands")))
+    near = near.withColumnsRenamed({"node": "set_a", "component": "task"}).join(classes, "set_a").select(F.col("class_id").alias("doc_id"), "task")
+    near = common.materialise(near, "near")
     sizes = near.groupBy("task").agg(F.count("*").alias("n")).persist()
     n_near, n_large = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("n") > block, F.col("n"))), F.lit(0))).first()
     linker = _linker(words, num, den)
-    whole = texts.where("text IS NOT NULL")
+    whole = _perhaps(texts.where("text IS NOT NULL"), near, int(n_near))
     both = F.lit(3).alias("side")
     # 3. neighbourhoods that one task can take
     small = near.join(sizes.where(F.col("n") <= block).select("task"), "task").select("doc_id", F.col("doc_id").alias("label"), "task", both)
@@ -129,7 +203,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     # 4. the larger ones
     if n_large:
         large = near.join(sizes.where(F.col("n") > block), "task").select("doc_id", F.col("task").alias("hood"), "n")
-        large = common.materialise(large.join(whole, "doc_id"), "large")
+        large = common.materialise(large.hint("merge").join(whole, "doc_id"), "large")
         edges = edges.unionByName(_link_large(large, int(n_large), block, linker))
     sizes.unpersist()
     found = connected_components(edges).withColumnsRenamed({"node": "class_id", "component": "component_id"})
