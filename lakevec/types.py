@@ -69,8 +69,8 @@ class Field:
         if self.type == FieldType.BINARY_VECTOR:
             return T.BinaryType()
         if self.type == FieldType.SPARSE_FLOAT_VECTOR:
-            return T.MapType(T.LongType(), T.FloatType(), False)
-        return T.ArrayType(T.FloatType(), False)
+            return T.MapType(T.LongType(), T.FloatType())
+        return T.ArrayType(T.FloatType())
 
     def struct_field(self) -> T.StructField:
         meta = {"field_id": self.field_id, "type_code": int(self.type), "dim": self.dim, "max_length": self.max_length, "primary": self.primary, "auto_id": self.auto_id}
