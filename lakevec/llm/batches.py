@@ -28,7 +28,10 @@ def map_texts(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | Non
     """A function for ``mapInArrow``: ``make()`` runs once per task and gives the function for a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _wanted.clear()
         step = make()
+        for key in [k for k in _memo if k not in _wanted]:
+            del _memo[key]  # of an operator that ran before in this worker
         for batch in batches:
             for part in text_slices(batch, column):
                 out = step(part)
@@ -60,10 +63,12 @@ class Memo(dict):
 
 
 _memo: dict = {}
+_wanted: set = set()
 
 
 def process_memo(key: tuple, make: Callable[[], Memo]) -> Memo:
     """The memo that this Python worker's tasks share for ``key``. A worker keeps that of one operator at a time."""
+    _wanted.add(key)
     if key not in _memo:
         _memo.clear()
         _memo[key] = make()

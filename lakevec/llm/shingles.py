@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
+#: Bytes of text whose words are hashed at once; a longer text comes alone.
+PART = 1 << 19
 _RANDOM = np.random.default_rng(6)
 _BYTE = _RANDOM.integers(1, 2**63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[[32, *range(9, 14)]] = 0
@@ -49,6 +52,17 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: pa.Array, words: int = 5) -> list[np.ndarray]:
     """The sorted distinct shingles of each text; with fewer words the whole sequence; none without words."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    out, start = [], 0
+    while start < len(texts):  # parts of about PART bytes keep the arrays small
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] - sizes[start] + PART, "right")))
+        out += _shingle_sets(texts[start:stop], words)
+        start = stop
+    return out
+
+
+def _shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     hashes, bounds = word_hashes(texts)
     n = len(hashes)
     full = np.zeros(max(0, n - words + 1), np.uint64)
