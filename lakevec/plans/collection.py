@@ -57,6 +57,25 @@ def read_backup_collection(spark: SparkSession, path: str, collection: str, data
     return rows if keep_system else rows.drop(*SYSTEM)
 
 
+def backup_deletes(spark: SparkSession, path: str, collection: str, scope: str = "partition") -> DataFrame:
+    """(pk, ts, partition_id) of the delete segments of a backup's partitions, or of the whole collection
+    (``scope`` "collection"); empty where there are none."""
+    s = backup.segments(backup.read_backup(spark, path)).where((F.col("collection_name") == collection) & F.col("is_l0") & (F.col("scope") == scope))
+    known = s.select("collection_id", "partition_id", "segment_id").collect()  # metadata: a row for each delete segment
+    folders = [f"{path.rstrip('/')}/binlogs/delta_log/{r[0]}/{r[1]}/{r[2]}" for r in known]
+    return logs.read_deletes(spark, [f for f in folders if storage.exists(spark, f)]).select("pk", "ts", "partition_id")
+
+
+def restore(spark: SparkSession, path: str, collection: str, root: str, database: str = "default", partition: str = "") -> int:
+    """A backup's collection into the store at ``root``, which is made there if need be; the number of rows."""
+    from ..catalog import Catalog
+
+    schema = backup.collection_schema(backup.read_backup(spark, path), collection)
+    store = Catalog(spark, root)
+    store.ensure(database, schema, partition)
+    return store.append(read_backup_collection(spark, path, collection), database, collection, partition)
+
+
 def backup_to_parquet(spark: SparkSession, path: str, collection: str, out: str, side: DataFrame | None = None, on: str = "id", files: int | None = None) -> None:
     """Restore, enrich by a left join with ``side``, write: by segment, or in ``files`` files."""
     df = read_backup_collection(spark, path, collection, keep_system=files is None)

@@ -1,4 +1,4 @@
-"""``spark.read.format("column_log" | "delete_log" | "log_meta" | "log_stats")``: the readers of ``logs`` as data sources.
+"""``spark.read.format("collection" | "column_log" | "delete_log" | "log_meta" | "log_stats")``: the readers of ``logs`` as data sources.
 
 These open files in the Python workers, by pyarrow's file systems (local, s3, gs, hdfs), one task per file. ``logs`` has
 the same for stores that only Spark can open.
@@ -7,7 +7,7 @@ the same for stores that only Spark can open.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from ..types import Field, FieldType
@@ -202,6 +202,133 @@ class LogStats(DataSource):
         return _Reader(self.options["path"], rows)
 
 
+class Collection(DataSource):
+    """Collections of the store at ``path``: appended to row batch by row batch, or read.
+
+    Options are those of ``lakevec.options``. Writing makes the database, collection and partition if they aren't there;
+    columns are bound by name; each task stages files of ``insertMaxBatchSize`` rows a row group, and commit makes all of
+    them visible. An aborted job publishes nothing.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "collection"
+
+    def _place(self):
+        from lakevec.options import Options
+
+        o = Options({k: v for k, v in self.options.items() if k.lower() != "path"})
+        if not o["collection.name"]:
+            raise ValueError("collection.name is missing")
+        return o, f"{self.options['path'].removeprefix('file://').removeprefix('file:').rstrip('/')}/{o.database or 'default'}/{o['collection.name']}"
+
+    def _stored(self):
+        import os
+
+        from lakevec.types import CollectionSchema
+
+        path = f"{self._place()[1]}/schema.json"
+        if not os.path.exists(path):
+            return None
+        with open(path) as f:
+            return CollectionSchema.loads(f.read())
+
+    def schema(self) -> StructType:
+        stored = self._stored()
+        if stored is None:
+            raise ValueError(f"there is no collection {self._place()[0]['collection.name']}")
+        return stored.to_struct()
+
+    def reader(self, schema):
+        o, folder = self._place()
+        names = schema.fieldNames()
+        part = f"{folder}/data" + (f"/_partition={o['partition.name']}" if o["partition.name"] else "")
+
+        def rows(path: str, data: bytes):
+            import io
+
+            import pyarrow.parquet as pq
+
+            yield from pq.ParquetFile(io.BytesIO(data)).iter_batches(columns=names)
+
+        return _Reader(part, rows)
+
+    def writer(self, schema, overwrite: bool):
+        import os
+
+        from lakevec.types import CollectionSchema
+
+        o, folder = self._place()
+        stored = self._stored()
+        if stored is None:
+            stored = CollectionSchema.from_struct(o["collection.name"], schema, o["collection.primaryKeyField"], o["collection.vectorField"], o.number("collection.vectorDim"), o.flag("collection.autoID"))
+            os.makedirs(folder, exist_ok=True)
+            with open(f"{folder}/schema.json", "w") as f:
+                f.write(stored.dumps())
+        missing = [f.name for f in stored.fields if f.name not in schema.fieldNames() and not f.auto_id and not f.nullable]
+        if missing:
+            raise ValueError(f"no column is named {missing[0]}")
+        return _CollectionWriter(f"{folder}/data/_partition={o['partition.name'] or '_default'}", stored, o.number("insertMaxBatchSize"), overwrite)
+
+
+class _CollectionWriter(DataSourceArrowWriter):
+    def __init__(self, folder: str, stored, batch: int, overwrite: bool):
+        self.folder, self.stored, self.batch, self.overwrite = folder, stored, batch, overwrite
+
+    def write(self, batches):
+        import os
+        import time
+        import uuid
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        from lakevec.sources import codec
+
+        os.makedirs(self.folder, exist_ok=True)
+        path, out, n = f"{self.folder}/_staging_{uuid.uuid4().hex}.parquet", None, 0
+        fields = self.stored.fields
+        kinds = pa.schema([(f.name, codec.arrow_type(f)) for f in fields])
+        first = time.time_ns() >> 20 << 20 | (uuid.uuid4().int & 0xFFF) << 8
+        for b in batches:
+            columns = []
+            for f in fields:
+                if f.auto_id:
+                    columns.append(pa.array(range(first + n, first + n + b.num_rows), pa.int64()))
+                elif f.name not in b.schema.names:
+                    columns.append(pa.nulls(b.num_rows, codec.arrow_type(f)))
+                else:
+                    values = b.column(b.schema.get_field_index(f.name)).cast(codec.arrow_type(f))
+                    if f.type.is_vector and f.dim:
+                        codec.to_storage(values, f)  # checks the lengths
+                    columns.append(values)
+            out = out or pq.ParquetWriter(path, kinds)
+            out.write_table(pa.Table.from_arrays(columns, schema=kinds), row_group_size=max(1, self.batch))
+            n += b.num_rows
+        if out:
+            out.close()
+        return _Written(path if out else None, n)
+
+    def commit(self, messages):
+        import os
+
+        old = [f"{self.folder}/{x}" for x in os.listdir(self.folder) if x.startswith("part-")] if self.overwrite and os.path.isdir(self.folder) else []
+        for m in messages:
+            if m and m.path:
+                os.rename(m.path, m.path.replace("_staging_", "part-"))
+        for x in old:
+            os.remove(x)
+
+    def abort(self, messages):
+        import contextlib
+        import os
+
+        for m in messages:
+            if m and m.path:
+                with contextlib.suppress(OSError):
+                    os.remove(m.path)
+
+
 def register(spark: SparkSession) -> None:
-    for source in (ColumnLog, DeleteLog, LogMeta, LogStats):
+    for source in (ColumnLog, DeleteLog, LogMeta, LogStats, Collection):
         spark.dataSource.register(source)

@@ -29,6 +29,27 @@ class FieldType(IntEnum):
     SPARSE_FLOAT_VECTOR = 104
 
 
+    @property
+    def is_integer(self) -> bool:
+        return FieldType.INT8 <= self <= FieldType.INT64
+
+    @property
+    def is_floating(self) -> bool:
+        return self in (FieldType.FLOAT, FieldType.DOUBLE)
+
+    @property
+    def is_numeric(self) -> bool:
+        return self.is_integer or self.is_floating
+
+    @property
+    def is_text(self) -> bool:
+        return self in (FieldType.STRING, FieldType.VARCHAR)
+
+    @property
+    def is_vector(self) -> bool:
+        return self >= FieldType.BINARY_VECTOR
+
+
 VECTORS = frozenset(t for t in FieldType if t >= FieldType.BINARY_VECTOR)
 #: System columns of a segment.
 ROW_ID_FIELD, TS_FIELD = 0, 1

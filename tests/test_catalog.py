@@ -104,3 +104,59 @@ def test_options():
     assert Options({"bucket": "b"}).base_path() == "s3a://b/files"
     with pytest.raises(KeyError):
         o["nope"]
+
+
+def test_data_source(spark, tmp_path):
+    from lakevec.sources import datasource
+
+    datasource.register(spark)
+    o = {k: str(v) for k, v in OPTIONS.items()}
+    df = frame(spark, [(i, [float(i), 1.0], "t") for i in range(7)]).repartition(3)
+    df.write.format("collection").options(**o).mode("append").save(str(tmp_path))
+    df.select("text", "vec", F.col("id") + 7).toDF("text", "vec", "id").write.format("collection").options(**o, **{"partition.name": "p"}).mode("append").save(str(tmp_path))
+    got = spark.read.format("collection").options(**o).load(str(tmp_path))
+    assert sorted(r.id for r in got.collect()) == list(range(14)) and got.schema["vec"].dataType.simpleString() == "array<float>"
+    assert spark.read.format("collection").options(**o, **{"partition.name": "p"}).load(str(tmp_path)).count() == 7
+    assert Catalog(spark, str(tmp_path)).read("default", "c").count() == 14
+    bad = frame(spark, [(50, [0.0, 1.0], "a"), (51, [0.0], "b")]).repartition(2)
+    with pytest.raises(Exception):  # noqa: B017
+        bad.write.format("collection").options(**o).mode("append").save(str(tmp_path))
+    assert Catalog(spark, str(tmp_path)).read("default", "c").count() == 14
+    df.limit(2).write.format("collection").options(**o).mode("overwrite").save(str(tmp_path))
+    assert Catalog(spark, str(tmp_path)).read("default", "c").count() == 9
+
+
+def test_cloud_import():
+    from lakevec.sinks.cloud_import import ImportFailed, start, wait
+
+    calls = []
+    reports = iter([{"readyPercentage": 0.3}, {"readyPercentage": 1, "errorMessage": "null"}])
+
+    def client(method, url, headers, body):
+        calls.append((method, url, body))
+        return {"code": 200, "data": {"jobId": 7} if method == "POST" else next(reports)}
+
+    o = Options({"collection.name": "c", "cloud.apiKey": "k", "cloud.instanceID": "i"})
+    assert start(client, "https://x/v1/", o, "s3a://b/p", "a", "s") == "7" and calls[0][2]["objectUrl"] == "s3://b/p"
+    assert wait(client, "https://x/v1", o, "7", sleep=lambda s: None)["readyPercentage"] == 1
+    with pytest.raises(ImportFailed):
+        wait(lambda *a: {"code": 500}, "x", o, "7")
+    with pytest.raises(ImportFailed):
+        wait(lambda *a: {"code": 200, "data": {"errorMessage": "bad"}}, "x", o, "7")
+    with pytest.raises(TimeoutError):
+        wait(lambda *a: {"code": 200, "data": {}}, "x", o, "7", timeout_s=6, sleep=lambda s: None)
+
+
+def test_jdbc_options():
+    from lakevec.sources import jdbc
+
+    assert jdbc.options("jdbc:x", "t", user="u", numPartitions=4) == {"url": "jdbc:x", "dbtable": "t", "user": "u", "numPartitions": "4"}
+    with pytest.raises(ValueError):
+        jdbc.read_table(None, "jdbc:x", "t", split_on="id")
+
+
+def test_type_predicates():
+    assert FieldType.INT8.is_integer and FieldType.DOUBLE.is_numeric and not FieldType.JSON.is_numeric and FieldType.VARCHAR.is_text
+    assert FieldType.SPARSE_FLOAT_VECTOR.is_vector and not FieldType.ARRAY.is_vector and FieldType(101) is FieldType.FLOAT_VECTOR
+    with pytest.raises(ValueError):
+        FieldType(77)

@@ -200,6 +200,34 @@ def test_backup_metadata(spark, tmp_path):
     assert plans.read_backup_collection(spark, str(tmp_path), "empty").count() == 0
 
 
+def test_index_event():
+    raw = struct.pack("<iqqqq", 2, 5, 50, 6, 60)
+    assert codec.read_index_event(raw) == [(5, 50), (6, 60)]
+    raw = struct.pack("<ii", 1, 2) + b"ab" + struct.pack("<q", 9)
+    assert codec.read_index_event(raw, text_keys=True) == [("ab", 9)]
+
+
+def test_restore_into_a_store(spark, tmp_path):
+    from lakevec.catalog import Catalog
+
+    base = str(tmp_path / "b")
+    df = spark.createDataFrame([(1, 11, 5, i, [float(i), 0.0], "x") for i in range(6)], "partition_id long, segment_id long, _ts long, id long, v array<float>, s string")
+    column_log.write_files(column_log.encode_segments(df, SCHEMA, 7), f"{base}/binlogs", 7, nested=True)
+    dels = spark.createDataFrame([(1, 12, "2", 9), (-1, 13, "3", 9), (-1, 13, "4", 1)], "partition_id long, segment_id long, pk string, ts long")
+    column_log.write_files(column_log.encode_deletes(dels, 7), f"{base}/binlogs", 7, "delta_log", nested=True)
+    fields = [{"fieldID": f.field_id, "name": f.name, "data_type": int(f.type), "is_primary_key": f.primary, "type_params": [{"key": "dim", "value": str(f.dim)}]} for f in SCHEMA.fields]
+    tree = {"collection_backups": [{"collection_id": 7, "collection_name": "c", "schema": {"fields": fields}, "partition_backups": [{"partition_id": 1, "segment_backups": [{"segment_id": 11}, {"segment_id": 12, "is_l0": True}]}], "l0_segments": [{"segment_id": 13}]}]}
+    (tmp_path / "b/meta").mkdir()
+    (tmp_path / "b/meta/full_meta.json").write_text(json.dumps(tree))
+    assert plans.restore(spark, base, "c", f"{tmp_path}/store") == 4
+    assert sorted(r.id for r in Catalog(spark, f"{tmp_path}/store").read("default", "c").collect()) == [0, 1, 4, 5]
+    assert [r.pk for r in plans.backup_deletes(spark, base, "c").collect()] == ["2"]
+    assert sorted(r.pk for r in plans.backup_deletes(spark, base, "c", "collection").collect()) == ["3", "4"]
+    side = spark.createDataFrame([(0, "zero")], "id long, name string")
+    plans.backup_to_parquet(spark, base, "c", f"{tmp_path}/out", side, files=1)
+    assert sorted((r.id, r.name) for r in spark.read.parquet(f"{tmp_path}/out").select("id", "name").collect()) == [(0, "zero"), (1, None), (4, None), (5, None)]
+
+
 def test_rows_json(spark, tmp_path):
     df = spark.createDataFrame([(1, "a\nb", None), (2, None, [1.0])], "id long, s string, v array<double>")
     sink.write_rows(df.repartition(2), f"{tmp_path}/j")
