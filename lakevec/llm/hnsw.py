@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from . import common
 
 M, BEAM_BUILD, BEAM_SEARCH, K = 16, 80, 192, 20
-#: Rows of a shard: not over the one, nor, while shards are fewer than the cluster's cores, over the other.
-MOST_ROWS, ROWS = 200_000, 4096
+#: A shard's vectors take no more bytes than the one and, while shards are fewer than the cluster's cores, are no more
+#: than the other: a larger shard is searched faster than two, but one task builds it and one row holds it.
+MOST_BYTES, ROWS = 64 << 20, 4096
 #: Queries that a search task takes at once; inside it, queries in one beam search.
 QUERY_BLOCK, TOGETHER, EXPANDED = 4096, 256, 4
 GRAPH = "shard int, dim int, n int, vectors binary, ids binary, starts binary, nodes array<binary>, neighbours array<binary>"
@@ -272,10 +273,10 @@ def usable(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, i
     return rows.where(F.size("vector") == dim), dim
 
 
-def build_index(rows: DataFrame, dim: int, keep: int = K + 1, most_rows: int = MOST_ROWS, n_rows: int | None = None) -> tuple[DataFrame, int]:
+def build_index(rows: DataFrame, dim: int, keep: int = K + 1, most_bytes: int = MOST_BYTES, n_rows: int | None = None) -> tuple[DataFrame, int]:
     """One row per shard with its graph (GRAPH), as a table in the shared folder, and the number of shards."""
     n_rows = rows.count() if n_rows is None else n_rows
-    shards = max(-(-n_rows // most_rows), min(-(-n_rows // ROWS), rows.sparkSession.sparkContext.defaultParallelism), 1)
+    shards = max(-(-n_rows * 8 * max(1, dim) // most_bytes), min(-(-n_rows // ROWS), rows.sparkSession.sparkContext.defaultParallelism), 1)
 
     def build(key, table):
         graph = Graph.build(table.column("vec_id").to_numpy(), _matrix(table.column("vector"), dim), keep)
