@@ -15,6 +15,8 @@ ROWS_PER_BUCKET = 10_000
 #: The white space that the text contracts name: space and the bytes 9 to 13.
 SPACE = "[\\x20\\x09-\\x0D]"
 
+_made: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,7 +32,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     if not root:
         root = scratch.local = tempfile.mkdtemp(prefix="lakevec-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return f"{root.rstrip('/')}/lakevec-{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/lakevec-{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> int:
+    """Remove the scratch tables that this process has made so far, and say how many there were.
+
+    For when all results that read them are written: results are lazy, so nothing removes them earlier.
+    """
+    paths, hadoop = list(_made), spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        p = hadoop.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _made.remove(path)
+    return len(paths)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -337,6 +337,17 @@ def test_toxicity(spark, docs, empty):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {i for i, p in scores.items() if not p}
 
 
+def test_scratch_tables_can_be_removed(spark):
+    import os
+
+    from lakevec.llm import common
+
+    df = common.materialise(spark.range(3).toDF("x"), "t")
+    path = common._made[-1]
+    assert df.count() == 3 and os.path.exists(path.removeprefix("file:"))
+    assert common.clean(spark) > 0 and not os.path.exists(path.removeprefix("file:"))
+
+
 def test_types_of_schema(docs):
     assert isinstance(exact_dedup.group_equal_texts(docs).schema["group_size"].dataType, T.LongType)
     assert isinstance(sharding.shard_documents(docs).schema["slot"].dataType, T.LongType)
