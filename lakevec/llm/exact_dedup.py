@@ -98,10 +98,11 @@ def drop_copies(docs: DataFrame) -> DataFrame:
 
     Rows without a doc_id stay only where no row with their text has one, and then one of them.
     """
-    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_key"), F.sha2(common.squeezed(F.col("text")), 256).alias("_sha")]
-    kept = group_equal_texts(docs).where("kept").select(key[0], F.col("text_sha256").alias("_sha"))
-    rows = docs.select(*docs.columns, *key).join(kept, ["_key", "_sha"], "left_semi")
-    return rows.dropDuplicates(["_key", "_sha"]).select(*docs.columns)
+    key, sha = (next(n for n in (f"{base}{'_' * i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for base in ("_key", "_sha"))
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias(key)
+    kept = group_equal_texts(docs).where("kept").select(number, F.col("text_sha256").alias(sha))
+    rows = docs.select(*docs.columns, number, F.sha2(common.squeezed(F.col("text")), 256).alias(sha))
+    return rows.join(kept, [key, sha], "left_semi").dropDuplicates([key, sha]).select(*docs.columns)
 
 
 ORACLE_SQL = r"""

@@ -75,8 +75,8 @@ def descend(key: list[Column], leaves: list[Leaf]) -> tuple[Column, Column, Colu
         return out
 
     region = _winner(key, "region", regions)
-    rack = case([(F.col("_region") == r, _winner(key, "rack", kids)) for r, kids in racks.items()])
-    shard = case([((F.col("_region") == r) & (F.col("_rack") == k), _winner(key, "shard", kids)) for (r, k), kids in shards.items()])
+    rack = case([(F.col("__tree_region") == r, _winner(key, "rack", kids)) for r, kids in racks.items()])
+    shard = case([((F.col("__tree_region") == r) & (F.col("__tree_rack") == k), _winner(key, "shard", kids)) for (r, k), kids in shards.items()])
     return region, rack, shard
 
 
@@ -84,10 +84,10 @@ def place(df: DataFrame, key: list[str], leaves: list[Leaf], prefix: str = "") -
     """Add ``{prefix}region``, ``{prefix}rack`` and ``{prefix}shard``. A null key is a key like any other."""
     region, rack, shard = descend([F.col(k) for k in key], leaves)
     return (
-        df.withColumn("_region", region)
-        .withColumn("_rack", rack)
-        .withColumn("_shard", shard)
-        .withColumnsRenamed({"_region": f"{prefix}region", "_rack": f"{prefix}rack", "_shard": f"{prefix}shard"})
+        df.withColumn("__tree_region", region)
+        .withColumn("__tree_rack", rack)
+        .withColumn("__tree_shard", shard)
+        .withColumnsRenamed({"__tree_region": f"{prefix}region", "__tree_rack": f"{prefix}rack", "__tree_shard": f"{prefix}shard"})
     )
 
 
