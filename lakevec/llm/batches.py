@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handed to an operator at once; a longer text comes alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
