@@ -29,8 +29,9 @@ from .shingles import mix, shingle_sets
 
 WORDS, NUM, DEN = 5, 75, 100
 BANDS, ROWS = 40, 3
-#: Sets of a neighbourhood, or of the small neighbourhoods dealt to one group, that a task takes at once.
-BLOCK = 1000
+#: What a task takes at once, of one neighbourhood or of small ones dealt to one group: a set counts 1, and 1 more for
+#: each SHINGLES of its shingles, so that very long texts make smaller blocks.
+BLOCK, SHINGLES = 1000, 1000
 #: Bits of the filter that keeps texts without neighbours from being shuffled (16 MB).
 FILTER_BITS = 1 << 27
 _FACTORS = np.random.default_rng(66).integers(1, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -187,22 +188,24 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     sketches = common.materialise(texts.mapInArrow(_sketcher(words), SKETCH), "sketches")
     live = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # 1. classes of equal sets; 2. neighbourhoods: classes (by the first half of their digest) that share a band
-    classes = live.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("class_id"))
+    classes = live.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("class_id"), F.max("n_shingles").alias("size"))
     classes = common.materialise(classes, "classes")
     near = connected_components(_near(live.select("set_a", "bands")))
-    near = near.withColumnsRenamed({"node": "set_a", "component": "task"}).join(classes, "set_a").select(F.col("class_id").alias("doc_id"), "task")
+    near = near.withColumnsRenamed({"node": "set_a", "component": "task"}).join(classes, "set_a")
+    near = near.select(F.col("class_id").alias("doc_id"), "task", (1 + F.floor(F.col("size") / SHINGLES)).alias("weight"))
     near = common.materialise(near, "near")
-    sizes = near.groupBy("task").agg(F.count("*").alias("n")).persist()
-    n_near, n_large = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("n") > block, F.col("n"))), F.lit(0))).first()
+    sizes = near.groupBy("task").agg(F.sum("weight").alias("n"), F.count("*").alias("members")).persist()
+    total = lambda c, where=F.lit(True): F.coalesce(F.sum(F.when(where, F.col(c))), F.lit(0))
+    n_near, n_weight, n_large = sizes.agg(total("members"), total("n"), total("n", F.col("n") > block)).first()
     linker = _linker(words, num, den)
     whole = _perhaps(texts.where("text IS NOT NULL"), near, int(n_near))
     both = F.lit(3).alias("side")
     # 3. neighbourhoods that one task can take
     small = near.join(sizes.where(F.col("n") <= block).select("task"), "task").select("doc_id", F.col("doc_id").alias("label"), "task", both)
-    edges = common.materialise(_linked(small, whole, -(-int(n_near) // block), linker), "links")
+    edges = common.materialise(_linked(small, whole, -(-int(n_weight) // block), linker), "links")
     # 4. the larger ones
     if n_large:
-        large = near.join(sizes.where(F.col("n") > block), "task").select("doc_id", F.col("task").alias("hood"), "n")
+        large = near.join(sizes.where(F.col("n") > block), "task").select("doc_id", F.col("task").alias("hood"), "n", "weight")
         large = common.materialise(large.hint("merge").join(whole, "doc_id"), "large")
         edges = edges.unionByName(_link_large(large, int(n_large), block, linker))
     sizes.unpersist()
@@ -214,9 +217,9 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
 
 
 def _link_large(large: DataFrame, rows: int, block: int, linker) -> DataFrame:
-    """Edges of the neighbourhoods ``large`` (doc_id, hood, n, text) of more than ``block`` sets."""
+    """Edges of the neighbourhoods ``large`` (doc_id, hood, n, weight, text) that weigh more than ``block``."""
     texts = large.select("doc_id", "text")
-    labels = large.select("doc_id", "hood", "n", F.col("doc_id").alias("label"))
+    labels = large.select("doc_id", "hood", "n", "weight", F.col("doc_id").alias("label"))
     part = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.expr(f"cast(ceil(n / {block}) AS bigint)"))
     edges = None
     for salt in (1, 2):
@@ -224,23 +227,23 @@ def _link_large(large: DataFrame, rows: int, block: int, linker) -> DataFrame:
         new = common.materialise(_linked(members, texts, -(-rows // block), linker), "links")
         edges = new if edges is None else edges.unionByName(new)
         found = connected_components(edges).withColumnsRenamed({"node": "label", "component": "now"})
-        labels = labels.join(found, "label", "left").select("doc_id", "hood", "n", F.coalesce("now", "label").alias("label"))
+        labels = labels.join(found, "label", "left").select("doc_id", "hood", "n", "weight", F.coalesce("now", "label").alias("label"))
         labels = common.materialise(labels, "labels")
     counts = labels.groupBy("hood", "label").agg(F.count("*").alias("k"))
     main = counts.groupBy("hood").agg(F.max_by("label", F.struct("k", F.negative("label"))).alias("main"), F.count("*").alias("kinds"))
     labels = labels.join(main.where("kinds > 1").select("hood", "main"), "hood").withColumn("part", part(3))
     rest = labels.where("label <> main")
     # the sets outside the largest component, in parts of their own, meet every part of their neighbourhood
-    n_rest = rest.groupBy("hood").agg(F.count("*").alias("r"))
+    n_rest = rest.groupBy("hood").agg(F.sum("weight").alias("r"))
     rest = rest.join(n_rest, "hood").withColumn("_of", F.expr(f"cast(ceil(r / {block}) AS bigint)"))
     rest = rest.withColumn("_rest", F.pmod(F.xxhash64("doc_id", F.lit(4)), F.col("_of")))
     meet = rest.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"cast(ceil(n / {block}) AS bigint) - 1"))))
-    one = meet.select("doc_id", "label", F.xxhash64("hood", "_rest", "part").alias("task"), F.lit(1).alias("s"))
+    one = meet.select("doc_id", "label", "weight", F.xxhash64("hood", "_rest", "part").alias("task"), F.lit(1).alias("s"))
     other = labels.join(n_rest, "hood").withColumn("_rest", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"cast(ceil(r / {block}) AS bigint) - 1"))))
-    other = other.select("doc_id", "label", F.xxhash64("hood", "_rest", "part").alias("task"), F.lit(2).alias("s"))
-    pairs = one.unionByName(other).groupBy("doc_id", "label", "task").agg(F.sum("s").cast("int").alias("side"))
-    n = pairs.count()
-    last = common.materialise(_linked(pairs, texts, -(-n // block), linker), "links") if n else None
+    other = other.select("doc_id", "label", "weight", F.xxhash64("hood", "_rest", "part").alias("task"), F.lit(2).alias("s"))
+    pairs = one.unionByName(other).groupBy("doc_id", "label", "weight", "task").agg(F.sum("s").cast("int").alias("side"))
+    n = pairs.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    last = common.materialise(_linked(pairs.drop("weight"), texts, -(-n // block), linker), "links") if n else None
     return edges.unionByName(last) if last is not None else edges
 
 

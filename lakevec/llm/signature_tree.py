@@ -1,9 +1,10 @@
 """Links between token sets by a dual traversal of a signature tree, in numpy.
 
-The sets' shared tokens get one bit each. A leaf holds a few sets, an inner node FAN nodes; every node has the OR of
+The sets' shared tokens get one bit each (several tokens one bit, where the bitmaps would take too much memory; what a
+set has beyond its bits is then added to every bound). A leaf holds a few sets, an inner node FAN nodes; every node has the OR of
 its sets' bitmaps and the range of their sizes. Two nodes can hold a link only if their size ranges fit the similarity
 and the bits that they have in common, which bound every overlap below them, reach the least overlap that the smaller
-sizes ask for. Pairs of sets that survive to the leaves have exact bitmaps, so their bound is their overlap.
+sizes ask for. For pairs of sets that survive to the leaves the bound is their overlap, or the overlap is counted.
 
 Only components are wanted: node pairs whose sets are all in one component already are pruned as well.
 """
@@ -15,6 +16,8 @@ import numpy as np
 FAN = 8
 #: Node pairs looked at before components are brought up to date, and bytes of bitmaps compared at once.
 PAIRS, BYTES = 4096, 32 << 20
+#: Bytes that the bitmaps of all sets may take.
+BITMAP_BYTES = 96 << 20
 
 
 class Links:
@@ -47,8 +50,9 @@ class Links:
             self.parent = up
 
 
-def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of 64-bit words for each set: one bit for each token that two sets or more have."""
+def bitmaps(sets: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """A row of 64-bit words for each set: a bit for each token that two sets or more have; and by how many such tokens
+    each set exceeds its bits, which is 0 unless ``most`` bytes are too few for a bit each."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
     tokens = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -59,10 +63,11 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     shared = np.bincount(kind) > 1 if len(kind) else np.zeros(0, bool)
     bit = np.cumsum(shared) - 1
     keep = shared[kind] if len(kind) else np.zeros(0, bool)
-    bit, owner = bit[kind[keep]], owner[keep]
-    out = np.zeros((len(sets), max(1, (int(shared.sum()) + 63) // 64)), np.uint64)
+    words = max(1, min((int(shared.sum()) + 63) // 64, most // (8 * len(sets))))
+    bit, owner = bit[kind[keep]] % (64 * words), owner[keep]
+    out = np.zeros((len(sets), words), np.uint64)
     np.bitwise_or.at(out, (owner, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
-    return out
+    return out, np.bincount(owner, minlength=len(sets)) - np.bitwise_count(out).sum(1, dtype=np.int64)
 
 
 def overlaps(bits: np.ndarray, other: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -83,12 +88,12 @@ def may_link(common: np.ndarray, small_a, large_a, small_b, large_b, num: int, d
 class Tree:
     """Levels from the leaves up; node i of a level has children i * FAN to i * FAN + FAN - 1 of the level below."""
 
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray):
-        self.levels = [(bits, sizes, sizes)]
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, excess: np.ndarray):
+        self.levels = [(bits, sizes, sizes, excess)]
         while len(self.levels[-1][0]) > 1:
-            bits, small, large = self.levels[-1]
+            bits, small, large, excess = self.levels[-1]
             starts = np.arange(0, len(bits), FAN)
-            self.levels.append((np.bitwise_or.reduceat(bits, starts, 0), np.minimum.reduceat(small, starts), np.maximum.reduceat(large, starts)))
+            self.levels.append((np.bitwise_or.reduceat(bits, starts, 0), np.minimum.reduceat(small, starts), np.maximum.reduceat(large, starts), np.maximum.reduceat(excess, starts)))
 
     def uniform(self, roots: np.ndarray) -> list[np.ndarray]:
         """For each node the component of all its sets, or -1."""
@@ -100,7 +105,7 @@ class Tree:
         return out
 
 
-def link(sets: list[np.ndarray], num: int, den: int, label: np.ndarray | None = None, side: np.ndarray | None = None) -> np.ndarray:
+def link(sets: list[np.ndarray], num: int, den: int, label: np.ndarray | None = None, side: np.ndarray | None = None, most: int = BITMAP_BYTES) -> np.ndarray:
     """The component of each set (an index into ``sets``), by links of Jaccard num / den or more.
 
     Sets of equal ``label`` count as linked. With ``side`` (bits 1 and 2) only pairs of a set of side 1 and a set of
@@ -114,9 +119,10 @@ def link(sets: list[np.ndarray], num: int, den: int, label: np.ndarray | None =
     # neighbours in the order of the smallest tokens are similar, so that nodes are tight
     first = np.array([s[0] if len(s) else 0 for s in sets], np.uint64)
     order = np.lexsort((sizes, first))
-    bits = bitmaps([sets[i] for i in order.tolist()])
+    bits, excess = bitmaps([sets[i] for i in order.tolist()], most)
     sizes = sizes[order]
-    tree = Tree(bits, sizes)
+    exact = not excess.any()
+    tree = Tree(bits, sizes, excess)
     sides = None
     if side is not None:
         sides = [side[order]]
@@ -135,7 +141,7 @@ def link(sets: list[np.ndarray], num: int, den: int, label: np.ndarray | None =
         if stale:
             roots = links.roots()[order]
             uniform, stale = tree.uniform(roots), False
-        node_bits, small, large = tree.levels[level]
+        node_bits, small, large, excess = tree.levels[level]
         keep = (uniform[level][a] != uniform[level][b]) | (uniform[level][a] < 0)
         if level == 0:
             keep &= (a != b) & (sizes[a] > 0) & (sizes[b] > 0)
@@ -144,13 +150,20 @@ def link(sets: list[np.ndarray], num: int, den: int, label: np.ndarray | None =
             keep &= ((x & 1 > 0) & (y & 2 > 0)) | ((x & 2 > 0) & (y & 1 > 0))
         a, b = a[keep], b[keep]
         # what a node shares with itself bounds nothing; its children are compared
-        common = overlaps(node_bits, node_bits, a, b)
+        common = overlaps(node_bits, node_bits, a, b) + np.minimum(excess[a], excess[b])
         keep = may_link(common, small[a], large[a], small[b], large[b], num, den) | ((a == b) & (level > 0))
         a, b = a[keep], b[keep]
         if not len(a):
             continue
         if level == 0:
-            links.union(order[a], order[b])
+            if exact:
+                links.union(order[a], order[b])
+            else:
+                for i, j in zip(order[a].tolist(), order[b].tolist(), strict=True):
+                    if links.find(i) != links.find(j):
+                        n_common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                        if may_link(n_common, len(sets[i]), len(sets[i]), len(sets[j]), len(sets[j]), num, den):
+                            links.union(np.array([i]), np.array([j]))
             stale = True
             continue
         below = len(tree.levels[level - 1][0])

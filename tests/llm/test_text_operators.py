@@ -149,6 +149,25 @@ def test_jaccard_families(spark, block):
     assert got == components([(i, shingles(t)) for i, t in enumerate(texts)])
 
 
+@pytest.mark.parametrize("most", [1 << 20, 64 * 40])
+def test_tree_with_wide_and_narrow_bitmaps(most):
+    import numpy as np
+
+    from lakevec.llm import signature_tree
+
+    r = np.random.default_rng(7)
+    sets = []
+    for _ in range(12):
+        base = r.choice(5000, 200, replace=False)
+        for _ in range(5):
+            own = base.copy()
+            own[: r.integers(0, 40)] = r.integers(5000, 10**6, 1)
+            sets.append(np.unique(own).astype(np.uint64))
+    roots = signature_tree.link(sets, 75, 100, most=most)
+    want = components([(i, set(x.tolist())) for i, x in enumerate(sets)])
+    assert [want[i] == want[j] for i, j in itertools.combinations(range(60), 2)] == [roots[i] == roots[j] for i, j in itertools.combinations(range(60), 2)]
+
+
 def line_key(line):
     key = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
     return key if len(key) >= 10 else None
