@@ -41,25 +41,24 @@ def map_texts(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return run
 
 
-class Memo(dict):
+class Memo:
     """Results by chunk of text, of bounded size: when full, what the present slice doesn't use is forgotten.
 
     Forgetting costs time but changes no result.
     """
 
     def __init__(self, compute: Callable[[list[str]], list], most: int = 600_000):
-        super().__init__()
-        self.compute, self.most = compute, most
-
-    def learn(self, chunks: set[str]) -> None:
-        new = [x for x in chunks if x not in self]
-        if not new:
-            return
-        if len(self) + len(new) > self.most:
-            kept = {x: self[x] for x in chunks if x in self}
-            self.clear()
-            self.update(kept)
-        self.update(zip(new, self.compute(new), strict=True))
+        self.compute, self.most, self.known = compute, most, {}
+
+    def learn(self, chunks: set[str]) -> dict[str, object]:
+        """A table with the results of ``chunks`` (and of others)."""
+        new = chunks.difference(self.known)
+        if new:
+            if len(self.known) + len(new) > self.most:
+                self.known = {x: self.known[x] for x in chunks.difference(new)}
+            some = list(new)
+            self.known.update(zip(some, self.compute(some), strict=True))
+        return self.known
 
 
 _memo: dict = {}

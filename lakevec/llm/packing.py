@@ -119,10 +119,10 @@ def piece_maker(path: str, capacity: int):
 
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             words = [split_words(x) for x in part.column("text").to_pylist()]
-            memo.learn(set().union(*words))
+            ids_of = memo.learn(set().union(*words)).__getitem__
             out: list[list] = [[], [], [], [], []]
             for doc_id, ws in zip(part.column("doc_id").to_pylist(), words, strict=True):
-                ids = b"".join(map(memo.__getitem__, ws)) + end
+                ids = b"".join(map(ids_of, ws)) + end
                 for k, at in enumerate(range(0, len(ids), width)):
                     piece = ids[at : at + width]
                     for column, x in zip(out, (doc_id, k, at // 4, len(piece) // 4, zlib.crc32(piece)), strict=True):

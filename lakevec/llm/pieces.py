@@ -241,10 +241,10 @@ def text_digester(path: str):
 
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             texts = [words_of(x) if x else [] for x in part.column("text").to_pylist()]
-            memo.learn(set().union(*texts))
+            known = memo.learn(set().union(*texts))
             out: list[list] = [[], [], []]
             for words in texts:
-                found = [memo[w] for w in words]
+                found = [known[w] for w in words]
                 ids = ",".join([x[0] for x in found])
                 decoded = b"".join([x[1] for x in found])
                 out[0].append(ids.count(",") + 1 if ids else 0)
@@ -265,8 +265,8 @@ def token_batches(path: str):
 
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             texts = [words_of(x) if x else [] for x in part.column("text").to_pylist()]
-            memo.learn(set().union(*texts))
-            ids = [[i for w in words for i in memo[w]] for words in texts]
+            known = memo.learn(set().union(*texts))
+            ids = [[i for w in words for i in known[w]] for words in texts]
             decoded = [decode(x, vocabulary) for x in ids]
             columns = [part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
