@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table's scan over all cores: where its files hold fewer row groups than there are cores (small tables, or few
+    and huge row groups), the rows are dealt anew, since the text operators' work per row outweighs moving it once."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's shared folder (``spark.checkpoint.dir``).
 

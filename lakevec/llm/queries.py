@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup, hnsw, html, jaccard, linededup, packing, pieces, secrets, sharding, toxicity
-from .common import table
+from .common import spread, table
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,24 +17,24 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.extract_pages(table(spark, sf_dir, "pages"))
+    return html.extract_pages(spread(table(spark, sf_dir, "pages")))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packing.pack_documents(spread(table(spark, sf_dir, "documents")))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.link_documents(table(spark, sf_dir, "documents"))
+    return jaccard.link_documents(spread(table(spark, sf_dir, "documents")))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(table(spark, sf_dir, "documents"), digest=True)
+    return linededup.dedup_lines(spread(table(spark, sf_dir, "documents")), digest=True)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,12 +42,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return secrets.digest_secrets(docs, secrets.fit(docs))
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.digest_tokens(table(spark, sf_dir, "documents"))
+    return pieces.digest_tokens(spread(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {
