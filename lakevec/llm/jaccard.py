@@ -226,8 +226,9 @@ def _link_large(large: DataFrame, rows: int, block: int, linker) -> DataFrame:
         members = labels.select("doc_id", "label", F.xxhash64("hood", part(salt)).alias("task"), F.lit(3).alias("side"))
         new = common.materialise(_linked(members, texts, -(-rows // block), linker), "links")
         edges = new if edges is None else edges.unionByName(new)
-        found = connected_components(edges).withColumnsRenamed({"node": "label", "component": "now"})
-        labels = labels.join(found, "label", "left").select("doc_id", "hood", "n", "weight", F.coalesce("now", "label").alias("label"))
+        # labels are ids of members, so each member finds its own component: no key is met by many rows
+        found = connected_components(edges).withColumnsRenamed({"node": "doc_id", "component": "now"})
+        labels = labels.join(found, "doc_id", "left").select("doc_id", "hood", "n", "weight", F.coalesce("now", "doc_id").alias("label"))
         labels = common.materialise(labels, "labels")
     counts = labels.groupBy("hood", "label").agg(F.count("*").alias("k"))
     main = counts.groupBy("hood").agg(F.max_by("label", F.struct("k", F.negative("label"))).alias("main"), F.count("*").alias("kinds"))
