@@ -35,6 +35,11 @@ MARGIN = frozenset("address blockquote center dl fieldset figure form h1 h2 h3 h
 BLOCK = MARGIN | frozenset("article aside body caption dd details dialog div dt figcaption footer header hgroup html legend li main nav optgroup search section summary tbody td tfoot th thead tr".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li dd dt main menu nav ol p pre search section summary table ul xmp listing plaintext".split())
 TABLE_PARTS = frozenset("caption colgroup tbody thead tfoot tr td th".split())
+#: Where only table parts can stand; other content is shown before the table, but for what stays though it is no part.
+ROWS = frozenset("table tbody thead tfoot tr colgroup".split())
+STAYS = TABLE_PARTS | frozenset("col form script style template".split())
+#: The parts that a table part lies in; what is open above them is closed.
+WITHIN = {"td": ("tr",), "th": ("tr",), "tr": ("tbody", "thead", "tfoot")}
 #: What a start tag closes, and where looking for it stops.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -90,13 +95,22 @@ class Builder:
 
     def push(self, tag: str, raw: str = "") -> Node:
         parent = self.stack[-1]
+        moved = parent.tag in ROWS and tag not in STAYS
+        if moved:
+            parent = self.around_table()
         node = Node(tag, attributes(raw) if raw and not raw.isspace() else {}, parent.depth + 1)
-        parent.kids.append(node)
+        parent.kids.insert(len(parent.kids) - moved, node)
+        if tag == "form" and parent.tag in ROWS:
+            return node  # the rows and cells after it are the table's
         if tag not in VOID and node.depth < DEPTH:
             self.stack.append(node)
             self.open[tag] = self.open.get(tag, 0) + 1
         return node
 
+    def around_table(self) -> Node:
+        """The parent of the innermost open table, which is its last child."""
+        return self.stack[max(i for i, x in enumerate(self.stack) if x.tag == "table") - 1]
+
     def pop_to(self, at: int) -> None:
         for node in self.stack[at:]:
             self.open[node.tag] -= 1
@@ -139,6 +153,15 @@ class Builder:
                     self.pop_to(at)
                 if not self.find(("tbody", "thead", "tfoot"), ("table",)):
                     self.start("tbody", "")
+            if tag in WITHIN:
+                at = self.find(WITHIN[tag], ("table",))
+            else:
+                at = self.find(("table",), ("td", "th", "caption"))
+            if at:
+                self.pop_to(at + 1)
+        elif tag == "table":
+            if at := self.find(("table",), ("td", "th", "caption")):
+                self.pop_to(at)  # no table lies between the parts of another
         elif tag in ("h1", "h2", "h3", "h4", "h5", "h6") and self.stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             self.pop_to(len(self.stack) - 1)
         elif tag in ("a", "button") and self.open.get(tag) and (at := self.find((tag,), SCOPE - {"button"})):
@@ -161,11 +184,10 @@ class Builder:
                 self.pop_to(at)
 
     def text(self, text: str) -> None:
-        if self.stack[-1].tag in ("table", "tbody", "thead", "tfoot", "tr", "colgroup") and text.strip(" \t\n\r\f"):
+        if self.stack[-1].tag in ROWS and text.strip(" \t\n\r\f"):
             # text between table parts is shown before the table
-            at = max(i for i, x in enumerate(self.stack) if x.tag == "table")
-            kids = self.stack[at - 1].kids
-            kids.insert(kids.index(self.stack[at]), text)
+            kids = self.around_table().kids
+            kids.insert(len(kids) - 1, text)
         else:
             if self.open.get("head") and self.stack[-1].tag == "head" and text.strip(" \t\n\r\f"):
                 self.pop_to(self.find(("head",), ()))
@@ -459,6 +481,8 @@ class Renderer:
                 for row in kid.kids:
                     if isinstance(row, Node) and row.tag == "tr":
                         rows[kid.tag].append((row, shown))
+                    elif isinstance(row, Node):
+                        out.extend(self.lines_of(row, shown, pre))
             elif kid.tag not in ("colgroup", "col"):
                 out.extend(self.lines_of(kid, shown, pre))
         grid: list[list[tuple[int, int, list[str]]]] = []

@@ -51,6 +51,29 @@ def test_all_words_come_out():
     assert sorted(render(source).replace("- ", " ").split()) == sorted(seen)
 
 
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<table><tr><td>a</td></tr><p>note</p><tr><td>b</td></tr></table>", "note\n\na\nb"), ("<table><tr><td>a</td></tr><div>x<b>y</b><tr><td>b</table>z", "xy\n\na\nb\n\nz"),
+        ("<table><tbody><form><tr><td>a<td>b</tr><tr><td>c<td>d</tr></form></tbody></table>", "a  b\nc  d"), ("<table><tr><form><td>a<td>b</form><tr><td>c<td>d</table>", "a  b\nc  d"),
+        ("<table><thead><a href=x>link</a><tr><th>h</table>", "link\n\nh"), ("<table><tr><td>a</tr><caption>C</caption></table>", "C\na"),
+        ("<table><tr><td>a</tr><table><tr><td>b</table>c", "a\n\nb\n\nc"), ("<table><tr><td>a</tr><select><option>o</select><tr><td>b</table>", "o\n\na\nb"),
+        ("<table><tr><td>a<table><tr></tr><p>in</p></table></table>", "a\n\nin"),
+    ],
+)
+def test_elements_between_rows(source, want):
+    assert render(source) == want
+
+
+def test_all_words_between_table_parts_come_out():
+    r = random.Random(6)
+    tags = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<tbody>", "</tbody>", "<caption>", "</caption>", "<thead>", "<form>", "</form>", "<p>", "</p>", "<div>", "</div>", "<b>", "</b>", "<a>", "<h1>", "<center>"]
+    for _ in range(300):
+        seen = [f"w{i}" for i in range(60)]
+        source = "".join("".join(r.choices(tags, k=r.randint(0, 3))) + f" {w} " for w in seen)
+        assert sorted(render(source).split()) == sorted(seen), source
+
+
 def test_table(spark):
     df = spark.createDataFrame([(1, "<p>a<p>b", "u"), (1, "<p>a<p>b", "v"), (None, None, "w"), (2, "", "x")], "page_id long, html string, text string")
     got = sorted((str(x.page_id), x.text, x.n_lines) for x in html.extract_pages(df).collect())
