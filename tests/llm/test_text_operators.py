@@ -315,6 +315,32 @@ def test_secrets_corpus(spark):
     assert got == want
 
 
+def test_secrets_rare(spark):
+    # findings only beyond the 20,000 documents of smallest hash
+    r = F.expr("row_number() OVER (ORDER BY xxhash64(id, 'secrets'), id)")
+    rare = spark.range(21_000).select(F.col("id").alias("doc_id"), r.alias("r"))
+    text = F.when(F.col("r") > 20_500, F.concat(F.lit("password = "), F.substring(F.md5(F.col("doc_id").cast("string")), 1, 20))).otherwise(F.concat(F.lit("see page-2024-number-"), "doc_id"))
+    docs = rare.select("doc_id", text.alias("text"))
+    scanner = secrets.fit(docs)
+    assert scanner.network is not None
+    assert secrets.digest_secrets(docs, scanner).where("n_assign = 1").count() == 500
+
+
+def test_secrets_smallest():
+    r = random.Random(8)
+    keys = [(r.randint(-50, 50), r.randint(0, 3)) for _ in range(500)]
+    for most in (1, 7, 1000):
+        kept = secrets.Smallest(most)
+        offered = [k for k in keys if kept.offer(k)]
+        assert sorted(set(offered))[:most] == sorted(set(keys))[:most]
+        assert sorted((-a, -b) for a, b in kept.heap) == sorted(kept.kept) == sorted(set(keys))[:most]
+    spans = [(a, b) for a in range(0, 90, 7) for b in range(a + 1, 100, 9)]
+    text = "".join(r.choice("ab\x00\x7f\x80\xffé日") for _ in range(100))
+    for t in (text, "a" * 100):
+        whole = {secrets._around(t, *s): secrets.windows(t, [s])[0].tobytes() for s in spans}
+        assert len(set(whole.values())) == len(whole) and len({secrets.windows(t, [s])[0].tobytes() for s in spans}) == len(whole)
+
+
 def test_network_gradients():
     import numpy as np
 
