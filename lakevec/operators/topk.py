@@ -13,6 +13,8 @@ from ..functions import distance
 
 #: Bytes of query vectors that are broadcast at once; more are asked in blocks of this size.
 BROADCAST_BYTES = 32 << 20
+#: Scores, and numbers of vectors that are scored again, that a task holds at once.
+SCORES = 2 << 20
 
 
 def top_k(rows: DataFrame, query: list[float], k: int, metric: str = "L2", id_col: str = "id", vector_col: str = "vector", where: Column | None = None, output: list[str] | None = None) -> DataFrame:
@@ -35,6 +37,13 @@ def _scores(metric: str, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def _errors(metric: str, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Bounds on what rounding does to ``_scores``, and to ``_exact`` on that scale."""
+    a, b = np.linalg.norm(queries, axis=1)[:, None], np.linalg.norm(rows, axis=1)[None, :]
+    unit = 8 * (rows.shape[1] + 8) * np.finfo(float).eps
+    return unit * ((a + b) ** 2 if metric == "L2" else a * b if metric == "IP" else np.ones((len(a), b.shape[1]))) + np.finfo(float).tiny
+
+
 def _exact(metric: str, query: np.ndarray, row: np.ndarray) -> np.ndarray:
     if metric == "L2":
         return np.sqrt(((query - row) ** 2).sum(1))
@@ -48,7 +57,7 @@ def batch_top_k(rows: DataFrame, queries: DataFrame, k: int, metric: str = "L2",
     """query_id, rank, id, score of the ``k`` nearest rows of every query.
 
     Queries are broadcast as a matrix, in blocks of BROADCAST_BYTES; a task keeps ``k`` rows for each query over all its
-    batches, so what is shuffled doesn't grow with the rows. Null vectors, and zero ones for COSINE, take no part.
+    batches, so what is shuffled doesn't grow with the rows. However many rows tie, the smaller ids come first. Null vectors, and zero ones for COSINE, take no part.
     """
     metric = metric.upper()
     if metric not in ("L2", "IP", "COSINE"):
@@ -77,35 +86,43 @@ def batch_top_k(rows: DataFrame, queries: DataFrame, k: int, metric: str = "L2",
 def _searcher(shared, k: int, metric: str, larger: bool, exclude_self: bool, dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, queries = shared.value
-        kept = None  # (query, id, score)
+        kept, n = [], 0  # (query, id, score), and how many
         for batch in batches:
             row_ids = batch.column("id").to_numpy()
             x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-            for i in range(0, len(ids), max(1, (8 << 20) // max(1, len(x)))):
-                part = slice(i, i + max(1, (8 << 20) // max(1, len(x))))
+            block = max(1, SCORES // max(1, len(x)))
+            for i in range(0, len(ids), block):
+                part = slice(i, i + block)
                 s = _scores(metric, queries[part], x)
                 if exclude_self:
                     s[ids[part][:, None] == row_ids[None, :]] = -np.inf
                 s = np.where(np.isnan(s), -np.inf, s)
-                # rounding may rank near ties wrongly: a few more than k are scored again, exactly
-                most = min(len(x), k + 16)
-                top = np.argpartition(-s, most - 1, 1)[:, :most] if most < len(x) else np.broadcast_to(np.arange(len(x)), s.shape)
-                q, c = np.nonzero(np.isfinite(np.take_along_axis(s, top, 1)))
-                r = top[q, c]
-                q = q + i
-                new = (q, row_ids[r], _exact(metric, queries[q], x[r]))
-                kept = new if kept is None else tuple(np.concatenate(p) for p in zip(kept, new, strict=True))
-            if kept is not None and len(kept[0]) > 4 * k * len(ids) + 100_000:
-                kept = _best(kept, k, larger)
-        if kept is not None:
+                q, c = np.nonzero(_nearest(s, _errors(metric, queries[part], x), k))
+                for j in range(0, len(q), max(1, SCORES // max(1, dim))):
+                    at = slice(j, j + max(1, SCORES // max(1, dim)))
+                    kept.append((q[at] + i, row_ids[c[at]], _exact(metric, queries[q[at] + i], x[c[at]])))
+                    n += len(kept[-1][0])
+                    if n > 4 * k * len(ids) + 100_000:
+                        kept = [_best(kept, k, larger)]
+                        n = len(kept[0][0])
+        if kept:
             q, r, s = _best(kept, k, larger)
             yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(r), pa.array(s)], names=["query_id", "id", "score"])
 
     return run
 
 
+def _nearest(s: np.ndarray, errors: np.ndarray, k: int) -> np.ndarray:
+    """Where a score, as far as rounding lets it be known, is among the ``k`` best of its line: all ties are."""
+    found = np.isfinite(s)
+    if 0 < k < s.shape[1]:
+        least = np.where(found, s - errors, -np.inf)
+        found &= s + errors >= np.partition(least, s.shape[1] - k, 1)[:, s.shape[1] - k, None]
+    return found
+
+
 def _best(kept, k: int, larger: bool):
-    q, r, s = kept
+    q, r, s = (np.concatenate(p) for p in zip(*kept, strict=True))
     order = np.lexsort((r, -s if larger else s, q))
     q, r, s = q[order], r[order], s[order]
     top = np.arange(len(q)) - np.searchsorted(q, q) < k

@@ -66,6 +66,34 @@ def test_batch_top_k(spark, monkeypatch, metric, most):
     assert single[0].id == (0 if metric != "IP" else int(np.argmax(x @ x[0])))
 
 
+@pytest.mark.parametrize("metric", ["L2", "IP", "COSINE"])
+@pytest.mark.parametrize("scores", [2 << 20, 700])
+def test_batch_top_k_ties(spark, monkeypatch, metric, scores):
+    monkeypatch.setattr(topk, "SCORES", scores)
+    r = np.random.default_rng(3)
+    ids = r.permutation(1000)
+    x = r.normal(size=(1000, 6))
+    x[::3] = x[0]  # a third of all rows are copies
+    x[0::3][:, 2] = 0
+    asked = [int(ids[0]), int(ids[3]), int(ids[1])]
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "id long, vector array<double>").repartition(2)
+    for exclude in (False, True):
+        got = topk.batch_top_k(df, df.where(F.col("id").isin(asked)), 10, metric, exclude_self=exclude).collect()
+        for q in asked:
+            v = x[ids == q][0]
+            s = {"L2": ((x - v) ** 2).sum(1) ** 0.5, "IP": -(x * v).sum(1), "COSINE": -(x * v).sum(1) / ((x**2).sum(1) ** 0.5 * (v**2).sum() ** 0.5)}[metric]
+            want = [int(ids[i]) for i in np.lexsort((ids, s)) if not exclude or ids[i] != q][:10]
+            assert [r.id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == want
+
+
+def test_batch_top_k_near_ties(spark):
+    # far from the origin, the expanded form of L2 can't tell the rows apart
+    x = 1e6 + np.arange(400)[:, None] * 1e-5 * np.ones((1, 4))
+    df = spark.createDataFrame([(999 - i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>")
+    got = topk.batch_top_k(df, df.where("id = 999"), 10).collect()
+    assert [r.id for r in sorted(got, key=lambda r: r["rank"])] == [999 - i for i in range(10)]
+
+
 def test_sparse_and_stats(spark):
     df = spark.createDataFrame([(1, {1: 2.0, 5: 1.0}), (2, {5: 4.0}), (3, {9: 1.0}), (4, None), (5, {})], "id long, vector map<long,float>")
     assert [(r.id, r.score) for r in topk.sparse_top_k(df, {5: 1.0, 1: 1.0}, 10).collect()] == [(2, 4.0), (1, 3.0)]
