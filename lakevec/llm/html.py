@@ -4,7 +4,8 @@ A tree builder reads any markup, adds the tags that HTML implies (paragraphs end
 options) and ignores end tags that close nothing. A renderer walks the tree: rules of visibility (elements that are
 never shown, ``hidden``, closed details and dialogs, inline styles and simple rules of style sheets) decide what is
 seen; blocks stand on lines of their own, those with a margin after a blank line; list items have their markers and
-are indented; table cells are aligned in columns, spans included. All visible text comes out, nothing is ranked or cut.
+are indented; table cells are aligned in columns, spans included; formulas and the text of drawings are read in the
+order of the source. All visible text comes out, nothing is ranked or cut.
 """
 
 from __future__ import annotations
@@ -30,10 +31,14 @@ SPAN = 1000
 # fixed values: the element classes of HTML
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
 RAW = frozenset("script style iframe noembed noframes xmp textarea title".split())
-NEVER = frozenset("head script style title template datalist iframe noembed noframes object video audio canvas svg math map rp".split())
+NEVER = frozenset("head script style title template datalist iframe noembed noframes object video audio canvas rp".split())
 MARGIN = frozenset("address blockquote center dl fieldset figure form h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul xmp listing plaintext dir".split())
 BLOCK = MARGIN | frozenset("article aside body caption dd details dialog div dt figcaption footer header hgroup html legend li main nav optgroup search section summary tbody td tfoot th thead tr".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li dd dt main menu nav ol p pre search section summary table ul xmp listing plaintext".split())
+#: What HTML ends an svg or a math element by; what is never shown in one; where HTML begins again in them.
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+NEVER_DRAWN = NEVER | frozenset("annotation annotation-xml clippath defs desc filter lineargradient marker mask metadata mphantom pattern radialgradient symbol".split())
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mn mo ms mtext".split())
 TABLE_PARTS = frozenset("caption colgroup tbody thead tfoot tr td th".split())
 #: Where only table parts can stand; other content is shown before the table, but for what stays though it is no part.
 ROWS = frozenset("table tbody thead tfoot tr colgroup".split())
@@ -64,6 +69,7 @@ _TAG = re.compile(
     re.S,
 )
 _ATTR = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_CLOSED = re.compile(r"(?:\A|[\s\"']|\s[^\s=\"']+)/\Z")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?([.#][\w-]+)?")
 _WHITE = re.compile(r"[ \t\n\r\f]+")
@@ -128,7 +134,24 @@ class Builder:
                 return 0
         return 0
 
+    def foreign(self) -> int:
+        """The place on the stack of the svg or math element whose own elements are read; 0 if it is HTML."""
+        if not (self.open.get("svg") or self.open.get("math")):
+            return 0
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag in ("svg", "math"):
+                return i
+            if self.stack[i].tag in INTEGRATION:
+                return 0
+        return 0
+
     def start(self, tag: str, raw: str) -> Node | None:
+        if at := self.foreign():
+            if tag in BREAKS_OUT:
+                self.pop_to(at)
+                return self.start(tag, raw)
+            if tag not in TABLE_PARTS and tag != "html":
+                return self.push(tag, raw)
         if tag in ("html", "body"):
             if self.open.get(tag):
                 return None
@@ -170,6 +193,8 @@ class Builder:
 
     def end(self, tag: str) -> None:
         if tag == "br":
+            if at := self.foreign():
+                self.pop_to(at)
             self.push("br")
         elif tag == "p" and not self.find(("p",), SCOPE):
             self.start("p", "")
@@ -208,11 +233,20 @@ def parse(source: str) -> tuple[Node, list[str]]:
         if not m:
             break
         at = m.end()
-        if m["end"]:
+        if m["bogus"] and source.startswith("<![CDATA[", lt) and (b.foreign() or b.stack[-1].tag in INTEGRATION):
+            stop = source.find("]]>", lt)
+            b.text(source[lt + 9 : stop if stop >= 0 else end])
+            at = stop + 3 if stop >= 0 else end
+        elif m["end"]:
             b.end(m["end"].lower())
         elif m["start"]:
             tag = m["start"].lower()
+            closes = (b.foreign() and tag not in BREAKS_OUT or tag in ("svg", "math")) and _CLOSED.search(m["attrs"])
             node = b.start(tag, m["attrs"].rstrip("/"))
+            if closes:
+                if b.stack[-1] is node:
+                    b.pop_to(len(b.stack) - 1)
+                continue
             if tag == "plaintext" and node:
                 node.kids.append(source[at:])
                 break
@@ -244,6 +278,12 @@ def style_of(declarations: str) -> dict[str, str]:
     return out
 
 
+def presentation(node: Node) -> dict[str, str]:
+    """Style that an element of a drawing or formula has by its attributes."""
+    names = ("visibility",) if node.tag == "math" else ("display", "visibility")
+    return {k: node.attrs[k].strip().lower() for k in names if k in node.attrs}
+
+
 def sheet(texts: list[str]) -> dict[str, dict[str, str]]:
     """Style by simple selector: ``tag``, ``.class``, ``#id`` and ``tag.class``. At-rules and all other selectors are
     passed over."""
@@ -366,6 +406,8 @@ class Renderer:
         if tag in NEVER:
             return
         style = self.style(node) if node.attrs or self.css else {}
+        if tag == "svg":
+            style = presentation(node) | style
         display = style.get("display", "")
         if display == "none":
             return
@@ -373,7 +415,12 @@ class Renderer:
             seen = style["visibility"] not in ("hidden", "collapse")
         if "white-space" in style:
             pre = style["white-space"] in ("pre", "pre-wrap", "break-spaces")
-        if tag == "br":
+        if tag in ("svg", "math"):
+            apart = display == "block" or node.attrs.get("display") == "block"
+            flow.newline() if apart else None
+            self.drawing(node, flow, seen, pre, tag == "math")
+            flow.newline() if apart else None
+        elif tag == "br":
             flow.newline(always=True) if seen else None
         elif tag == "hr":
             flow.margin()
@@ -426,6 +473,34 @@ class Renderer:
         else:
             self.walk(node, flow, seen, pre)
 
+    def drawing(self, node: Node, flow: Flow, seen: bool, pre: bool, text: bool) -> None:
+        """The text of a formula, or of the text elements and HTML parts of a drawing; ``text``: whether in one."""
+        kids = node.kids
+        if node.tag == "switch":  # the first that asks for nothing
+            kids = [k for k in kids if isinstance(k, Node) and not {"systemlanguage", "requiredextensions"} & k.attrs.keys()][:1]
+        for kid in kids:
+            if isinstance(kid, str):
+                if text and seen:
+                    flow.add(kid, pre)
+                continue
+            tag = kid.tag
+            if tag in BREAKS_OUT:
+                self.element(kid, flow, seen, pre)
+                continue
+            style = presentation(kid) | self.style(kid)
+            if tag in NEVER_DRAWN or style.get("display") == "none":
+                continue
+            shown = style["visibility"] not in ("hidden", "collapse") if "visibility" in style else seen
+            if tag == "mtd" or node.tag == "mfrac":
+                flow.space = flow.space or bool(flow.line)
+            apart = tag in ("text", "foreignobject", "mtr", "mlabeledtr") or (tag == "tspan" and "x" in kid.attrs)
+            flow.newline() if apart else None
+            if tag == "foreignobject":
+                self.walk(kid, flow, shown, pre)
+            else:
+                self.drawing(kid, flow, shown, pre, text or tag in ("text", "math"))
+            flow.newline() if apart and tag != "tspan" else None
+
     def chosen(self, node: Node) -> str:
         options, stack = [], list(reversed(node.kids))
         while stack:

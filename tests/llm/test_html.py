@@ -74,6 +74,31 @@ def test_all_words_between_table_parts_come_out():
         assert sorted(render(source).split()) == sorted(seen), source
 
 
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be", "let x=1 be"), ("<math display=block><mfrac><mi>a</mi><mi>b</mi></mfrac></math>c", "a b\nc"),
+        ("<math><semantics><mi>x</mi><annotation encoding=t>\\x</annotation></semantics></math>", "x"), ("<math><mtable><mtr><mtd><mn>1</mn></mtd><mtd><mn>2</mn></mtd></mtr><mtr><mtd><mn>3</mn></mtd></mtr></mtable></math>", "1 2\n3"),
+        ("<svg width=1><title>no</title><desc>no</desc><defs><text>no</text></defs><rect x='1'/><g><text x=1>one <tspan>two</tspan></text></g><path d=M/><text>three</text></svg>", "one two\nthree"),
+        ("a<svg viewBox='0 0 1 1'/>b<svg><title/><use href='#a'/></svg>c", "abc"), ("<svg><path><circle></svg><p>after", "after"), ("<svg><g><div>html</div>x", "html\nx"),
+        ("<svg><foreignObject><p>in</p></foreignObject></svg>", "in"), ("<svg><switch><foreignObject><b>first</b></foreignObject><text>second</text></switch></svg>", "first"),
+        ("<svg><text display=none>no</text><g visibility=hidden><text>no</text></g><text><![CDATA[a < b]]></text></svg>", "a < b"), ("<svg display='none'><text>no</text></svg>y", "y"),
+        ("<style>.h{display:none}</style><svg><text class=h>no</text><text><tspan x=0>l</tspan><tspan x=0 dy=9>m</tspan></text></svg>", "l\nm"),
+        ("<map name=m><a href=x>north</a> <area alt=no> south</map>", "north south"), ("<table><tr><td><svg><text>t</text></svg><td>u</table>", "t  u"), ("<svg><tr>x</svg>y", "y"),
+    ],
+)
+def test_drawings_formulas_and_maps(source, want):
+    assert render(source) == want
+
+
+def test_any_drawing_is_rendered():
+    r = random.Random(7)
+    parts = ["<svg>", "</svg>", "<math>", "</math>", "<text>", "<g/>", "<tr>", "<td>", "<table>", "</table>", "<mi>", "<foreignObject>", "<title/>", "<form>", "<p>", "</p>", "</br>", "<switch>", "<select>", "<![CDATA[x]]>", "<html>", "<head>", "<a>", "word "]
+    for _ in range(1500):
+        assert isinstance(render("".join(r.choice(parts) for _ in range(r.randint(1, 60)))), str)
+    assert render("<svg>" + "<g>" * 5000 + "<text>x</svg>") is not None
+
+
 def test_table(spark):
     df = spark.createDataFrame([(1, "<p>a<p>b", "u"), (1, "<p>a<p>b", "v"), (None, None, "w"), (2, "", "x")], "page_id long, html string, text string")
     got = sorted((str(x.page_id), x.text, x.n_lines) for x in html.extract_pages(df).collect())
