@@ -36,15 +36,17 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def word_encoder(path: str):
     """A function from chunks without space or line feed to their ids as little-endian 32-bit bytes.
 
-    A chunk of letters, but for a full stop or comma at its end, is what nearly all chunks are. The tokenizer never
-    joins letters with those signs and lowers A-Z, so such chunks share the ids of their lower-case letters, and these
-    are encoded many at a time: every word's last token, and no other, is one that ends a word in the vocabulary.
+    Letters, with a full stop or comma at the end or without, are what nearly all chunks are. The tokenizer never joins
+    letters with those signs, so where its own normaliser (lower case, composed) leaves a word a string of letters, the
+    word and the sign have ids of their own, and words are encoded many at a time: every word's last token, and no
+    other, is one that ends a word in the vocabulary. All other chunks are encoded as they are.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import numpy as np
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
     vocabulary = tokenizer.get_vocab()
     ends = np.zeros(max(vocabulary.values()) + 1, bool)
     ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -72,9 +74,8 @@ def word_encoder(path: str):
         split, words, odd = [], {}, []
         for chunk in chunks:
             word, sign = (chunk[:-1], chunk[-1]) if chunk[-1:] in (".", ",") else (chunk, "")
-            if word.isalpha():
-                if word.isascii():
-                    word = word.lower()
+            if word.isalpha() and (lowered := word.lower() if word.isascii() else normal(word)).isalpha():
+                word = lowered if word.isascii() else word
                 words[word] = None
                 split.append((word, sign))
             else:

@@ -65,9 +65,10 @@ def shingle_sets(texts: pa.Array, words: int = 5) -> list[np.ndarray]:
 def _shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     hashes, bounds = word_hashes(texts)
     n = len(hashes)
-    full = np.zeros(max(0, n - words + 1), np.uint64)
+    whole = max(0, n - words + 1)  # places where so many words begin
+    full = np.zeros(whole, np.uint64)
     for k in range(words):
-        full += hashes[k : n - words + 1 + k] * _PLACE[k]
+        full += hashes[k : k + whole] * _PLACE[k]
     full = mix(full, words)
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
