@@ -1,15 +1,16 @@
 """N-gram Jaccard join: documents linked by the Jaccard similarity of their word shingles, by signature trees.
 
 1. Each text becomes a set of shingle hashes. Equal sets are one class, of which the smallest doc_id goes on.
-2. All shingles stand in one global order, those that few documents have first. Two sets at the threshold or above it
-   share one of the shingles with which each begins (n - ceil(threshold * n) + 1 of n), whatever the order is; so no
-   link is lost. The order only keeps what many documents repeat out of these beginnings; it is taken from counters of
-   fixed number over all documents.
-3. Neighbourhoods are connected components over the beginnings, so each set is shipped once, to one task, which finds
+2. Minimum hashes in BANDS bands of ROWS deal classes to neighbourhoods: classes that share a band are in one. Two sets
+   at the threshold share no band with a chance of (1 - s ** ROWS) ** BANDS, 3e-10 for s = 0.75, less above it; this
+   is of the size of what 64-bit hashes themselves can get wrong. (Beginnings of the sets under one order of all
+   shingles, which lose nothing at all, were tried: as no table of bounded size tells a shingle of two documents from
+   one of ten, passages that few documents share join most sets to one neighbourhood.)
+3. Neighbourhoods are connected components over the bands, so each set is shipped once, to one task, which finds
    its links by a dual traversal of a signature tree (see ``signature_tree``), exactly.
 4. A neighbourhood over BLOCK sets is dealt to blocks. Two rounds over blocks alone, dealt in different ways, join most
-   of it; then each set outside the largest component so far meets the blocks that hold a shingle of its beginning, by
-   trees again. No task has more than two blocks.
+   of it; then each set outside the largest component so far meets the blocks that hold one of its bands, by trees
+   again. No task has more than two blocks.
 
 Components, not pairs, come out, so a group of copies costs its size, not its square.
 """
@@ -25,13 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, signature_tree
-from .batches import map_texts, text_slices
+from .batches import map_texts
 from .components import connected_components
 from .shingles import mix, shingle_sets
 
 WORDS, NUM, DEN = 5, 75, 100
-#: Counters of shingles (8 MB); CHUNKS rows carry them.
-COUNTERS, CHUNKS = 1 << 21, 512
+BANDS, ROWS = 40, 3
 #: What a task takes at once, of one neighbourhood or of small ones dealt to one group: a set counts 1, and 1 more for
 #: each SHINGLES of its shingles, so that very long texts make smaller blocks.
 BLOCK, SHINGLES = 1000, 1000
@@ -39,62 +39,28 @@ BLOCK, SHINGLES = 1000, 1000
 GROUPS = 4
 #: Bits of the filter that keeps texts without neighbours from being shuffled (16 MB).
 FILTER_BITS = 1 << 27
+_FACTORS = np.random.default_rng(66).integers(1, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_CHUNK = 4096
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
-def _counter_of(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+def bands_of(tokens: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band: ROWS minima under different hash functions, mixed with the band's number."""
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(tokens), _CHUNK):
+        np.minimum(least, (tokens[None, i : i + _CHUNK] * _FACTORS[:, None]).min(1), out=least)
+    key = mix(np.arange(BANDS, dtype=np.uint64))
+    for row in least.reshape(ROWS, BANDS):
+        key = mix(key ^ row)
+    return key
 
 
-def count_shingles(texts: DataFrame, words: int = WORDS) -> np.ndarray:
-    """How many documents have a shingle of each counter, over all ``texts``. Tasks send their counters, no shingles."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.uint32)
-        for batch in batches:
-            for part in text_slices(batch):
-                np.add.at(counts, _counter_of(np.concatenate(shingle_sets(part.column("text"), words))), 1)
-        yield from chunks(counts.reshape(CHUNKS, -1).astype(np.int64))
-
-    def chunks(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        used = np.flatnonzero(rows.any(1))
-        # a byte for a counter where that is enough, as it is in all tasks but those of the last step
-        small = rows.max(initial=0) < 256
-        raw = [r.astype(np.uint8 if small else np.int64).tobytes() for r in rows[used]]
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(raw, pa.binary())], names=["chunk", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((CHUNKS, COUNTERS // CHUNKS), np.int64)
-        for batch in batches:
-            for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                total[chunk] += np.frombuffer(raw, np.uint8 if len(raw) == total.shape[1] else np.int64)
-        yield from chunks(total)
-
-    schema = "chunk int, counts binary"
-    groups = min(CHUNKS, common.shuffle_partitions(texts.sparkSession))
-    found = texts.select("text").mapInArrow(count, schema).repartition(groups, "chunk").mapInArrow(add, schema).toArrow()  # CHUNKS rows
-    out = np.zeros((CHUNKS, COUNTERS // CHUNKS), np.int64)
-    for chunk, raw in zip(found.column("chunk").to_pylist(), found.column("counts").to_pylist(), strict=True):
-        out[chunk] += np.frombuffer(raw, np.uint8 if len(raw) == out.shape[1] else np.int64)
-    return np.minimum(out.ravel(), 2**32 - 1).astype(np.uint32)
-
-
-def beginning(tokens: np.ndarray, counts: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
-    """The shingles with which a set begins, in the order of their counters, as far as any set that reaches the
-    threshold with it must share one; without those that no other document has."""
-    of = counts[_counter_of(tokens)]
-    first = np.lexsort((tokens, of))[: len(tokens) - -(-num * len(tokens) // den) + 1]
-    return tokens[first[of[first] != 1]]
-
-
-def _sketcher(words: int, num: int, den: int, counts):
+def _sketcher(words: int):
     def make():
-        known = counts.value
-
         def step(part: pa.RecordBatch) -> pa.RecordBatch:
             sets = shingle_sets(part.column("text"), words)
             digests = np.array([[mix(s, 1).sum(dtype=np.uint64), mix(s, 2).sum(dtype=np.uint64)] for s in sets], np.uint64).reshape(len(sets), 2).view(np.int64)
-            keys = [beginning(s, known, num, den).view(np.int64) for s in sets]
+            keys = [bands_of(s).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
             bands = pa.ListArray.from_arrays(np.cumsum([0, *map(len, keys)]).astype(np.int32), np.concatenate(keys) if keys else np.zeros(0, np.int64))
             columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy()), bands]
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
@@ -224,11 +190,9 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counts = spark.sparkContext.broadcast(count_shingles(texts, words))
-    sketches = common.materialise(texts.mapInArrow(_sketcher(words, num, den, counts), SKETCH), "sketches")
-    counts.destroy()
+    sketches = common.materialise(texts.mapInArrow(_sketcher(words), SKETCH), "sketches")
     live = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    # 1. classes of equal sets; 2. neighbourhoods: classes (by the first half of their digest) that share a beginning
+    # 1. classes of equal sets; 2. neighbourhoods: classes (by the first half of their digest) that share a band
     classes = live.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("class_id"), F.max("n_shingles").alias("size"))
     classes = common.materialise(classes, "classes")
     near = connected_components(_near(live.select("set_a", "bands")))
@@ -270,7 +234,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
 
 def _link_large(large: DataFrame, bands: DataFrame, rows: int, block: int, linker) -> DataFrame:
     """Edges of the neighbourhoods ``large`` (doc_id, hood, n, weight, text) that weigh more than ``block``; ``bands``
-    (doc_id, bands) are the beginnings of all sets."""
+    (doc_id, bands) are those of all sets."""
     texts = large.select("doc_id", "text")
     labels = large.select("doc_id", "hood", "n", "weight", F.col("doc_id").alias("label"))
     part = lambda salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.expr(f"cast(ceil(n / {block}) AS bigint)"))
@@ -287,14 +251,14 @@ def _link_large(large: DataFrame, bands: DataFrame, rows: int, block: int, linke
     main = counts.groupBy("hood").agg(F.max_by("label", F.struct("k", F.negative("label"))).alias("main"), F.count("*").alias("kinds"))
     labels = labels.join(main.where("kinds > 1").select("hood", "main"), "hood").withColumn("part", part(3))
     rest = labels.where("label <> main")
-    # a set outside the largest component meets the parts that hold a shingle of its beginning; such sets have parts
-    # of their own besides
+    # a set outside the largest component meets the parts that hold one of its bands; such sets have parts of their
+    # own besides
     n_rest = rest.groupBy("hood").agg(F.sum("weight").alias("r"))
     rest = rest.join(n_rest, "hood").withColumn("_rest", F.pmod(F.xxhash64("doc_id", F.lit(4)), F.expr(f"cast(ceil(r / {block}) AS bigint)")))
     rest = common.materialise(rest.select("doc_id", "hood", "label", "weight", "_rest"), "rest")
-    begins = lambda df, *also: df.join(bands, "doc_id").select(*also, F.explode("bands").alias("shingle")).distinct()
-    holds = begins(labels.join(n_rest.select("hood"), "hood", "left_semi"), "hood", "part")
-    meet = begins(rest, "doc_id", "hood", "label", "weight", "_rest").join(holds, ["hood", "shingle"])
+    banded = lambda df, *also: df.join(bands, "doc_id").select(*also, F.explode("bands").alias("band")).distinct()
+    holds = banded(labels.join(n_rest.select("hood"), "hood", "left_semi"), "hood", "part")
+    meet = banded(rest, "doc_id", "hood", "label", "weight", "_rest").join(holds, ["hood", "band"])
     meet = common.materialise(meet.select("doc_id", "hood", "label", "weight", "_rest", "part").distinct(), "meet")
     one = meet.select("doc_id", "label", "weight", F.xxhash64("hood", "_rest", "part").alias("task"), F.lit(1).alias("s"))
     other = labels.join(meet.select("hood", "_rest", "part").distinct(), ["hood", "part"])

@@ -1,13 +1,15 @@
 """Reversible line dedup: sharded cuckoo filters in front of exact reference-count tables.
 
 An index knows which document has which line key (a posting), and, dealt to shards by key, how many documents have a
-key and the first of them (the reference counts). Each shard has a cuckoo filter over its keys. When documents come in,
-a key that the filter doesn't know is new for certain and is appended; only the others are looked up among the exact
-counts. When documents go, counts fall, the next document becomes a key's first, and the filter forgets keys that no
-document has any more. So the index after insertions and deletions equals that of the documents that are left.
-
-Keys are BLAKE2b digests of 128 bits. Postings of one key are counted before they are dealt, so a line that a third of
-all documents have is one row of its shard.
+key and the first of them (the reference counts). Each shard has a cuckoo filter over its keys. Keys come to a shard in
+portions; one that the filter doesn't know is new for certain and is appended, and only the others are looked up among
+the exact counts. The same filter decides which lines of a document are looked up at all when the index is applied.
+When documents go, counts fall, the next document becomes a key's first, and the filter forgets keys that no document
+has any more. So the index after insertions and deletions equals that of the documents that are left.
+
+Keys are BLAKE2b digests of 128 bits. Postings of one key are counted in each task before they are dealt, and the keys
+that very many documents have, whose number is bounded, are looked up where their postings are: a line that a third of
+all documents have fills no shard.
 """
 
 from __future__ import annotations
@@ -28,6 +30,12 @@ WHITE = b" \t\n\x0b\x0c\r"
 #: Code points that a key needs to count, and documents that need to have it.
 LEAST_POINTS, LEAST_DOCS = 10, 2
 POSTINGS_PER_SHARD = 400_000
+#: Postings that a task counts at once before they are dealt, and keys that a shard takes in at once.
+COUNTED, PORTION = 500_000, 50_000
+#: Keys in as many documents as a shard has postings, or in this part of all postings, are looked up without a shuffle:
+#: not more of them than this.
+HOT_KEYS = 100_000
+POSTED = ["doc_id", "h1", "h2"]
 POSTING = "doc_id long, h1 long, h2 long"
 STATE = "shard int, h1 long, h2 long, n_docs long, first_doc long, filter binary"
 
@@ -181,7 +189,7 @@ def _poster():
             own = {line_key(x) for x in text.split(b"\n")} - {None}
             counts.append(len(own))
             keys.extend(own)
-        pairs = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
+        pairs = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
         at = pa.array(np.repeat(np.arange(len(counts)), counts))
         return pa.RecordBatch.from_arrays([ids.take(at), pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["doc_id", "h1", "h2"])
 
@@ -197,17 +205,59 @@ def _postings(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(map_texts(_poster), POSTING).distinct()
 
 
+def counted(h1: np.ndarray, h2: np.ndarray, n: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each key once, with the sum of its counts and the smallest first document."""
+    if not len(h1):
+        return h1, h2, n, first
+    order = np.lexsort((h2, h1))
+    h1, h2, n, first = h1[order], h2[order], n[order], first[order]
+    starts = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+    return h1[starts], h2[starts], np.add.reduceat(n, starts), np.minimum.reduceat(first, starts)
+
+
+def _count(batches):
+    """Reference counts of a task's postings, COUNTED of them at a time."""
+    waiting, size = [], 0
+
+    def flush():
+        doc_id, h1, h2 = (np.concatenate([b.column(c).to_numpy() for b in waiting]) for c in ("doc_id", "h1", "h2"))
+        columns = counted(h1, h2, np.ones(len(h1), np.int64), doc_id)
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["h1", "h2", "n_docs", "first_doc"])
+
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.num_rows
+        if size >= COUNTED:
+            yield flush()
+            waiting, size = [], 0
+    if waiting:
+        yield flush()
+
+
+def _numbers(table: pa.Table) -> list[np.ndarray]:
+    return [table.column(c).to_numpy() for c in ("h1", "h2", "n_docs", "first_doc")]
+
+
+def _references(state: pa.Table, room: int = 0) -> References:
+    kept = state.filter(state.column("h1").is_null()).column("filter").to_pylist()
+    return References(*_numbers(state.filter(state.column("h1").is_valid())), CuckooFilter.load(kept[0]) if kept else CuckooFilter(room))
+
+
+def _shard(h2: str, shards: int):
+    return F.pmod(h2, F.lit(shards)).cast("int")
+
+
 def _update(state: DataFrame, delta: DataFrame, shards: int, delete: bool) -> DataFrame:
     """The state after the counts of ``delta`` (h1, h2, n_docs, first_doc) came or went."""
 
     def update(key, before, change):
         shard = key[0].as_py()
-        rows = before.filter(before.column("h1").is_valid())
-        kept = before.filter(before.column("h1").is_null()).column("filter").to_pylist()
-        numbers = lambda t: [t.column(c).to_numpy() for c in ("h1", "h2", "n_docs", "first_doc")]
-        refs = References(*numbers(rows), CuckooFilter.load(kept[0]) if kept else CuckooFilter())
-        if len(change):
-            refs = (refs.delete if delete else refs.insert)(*numbers(change))
+        refs, change = _references(before, len(change)), _numbers(change)
+        if delete:
+            refs = refs.delete(*change) if len(change[0]) else refs
+        else:
+            for i in range(0, len(change[0]), PORTION):
+                refs = refs.insert(*counted(*(x[i : i + PORTION] for x in change)))
         n = len(refs.h1)
         columns = {"shard": pa.array([shard] * (n + 1), pa.int32())}
         for name in ("h1", "h2", "n_docs", "first_doc"):
@@ -215,7 +265,7 @@ def _update(state: DataFrame, delta: DataFrame, shards: int, delete: bool) -> Da
         columns["filter"] = pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array([refs.filter.dump()], pa.binary())])
         return pa.table(columns)
 
-    delta = delta.withColumn("shard", F.pmod("h2", F.lit(shards)).cast("int"))
+    delta = delta.withColumn("shard", _shard("h2", shards))
     return state.groupBy("shard").cogroup(delta.groupBy("shard")).applyInArrow(update, STATE)
 
 
@@ -229,7 +279,7 @@ def insert(index: LineIndex, docs: DataFrame) -> LineIndex:
 
 
 def _insert(index: LineIndex, new: DataFrame) -> LineIndex:
-    delta = new.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+    delta = new.mapInArrow(_count, "h1 long, h2 long, n_docs long, first_doc long")
     state = common.materialise(_update(index.state, delta, index.shards, delete=False), "line-state")
     return LineIndex(index.postings.unionByName(new), state, index.shards)
 
@@ -284,34 +334,27 @@ def apply_index(index: LineIndex, docs: DataFrame, digest: bool = False) -> Data
     repeat a doc_id are one document; rows without one are not in the index and keep all lines. An empty table gives an
     empty result; columns other than doc_id and text are not read.
     """
-    shared = index.state.where(F.col("n_docs") >= LEAST_DOCS).select("h1", "h2", "first_doc")
-    gone = index.postings.join(shared, ["h1", "h2"]).where("doc_id <> first_doc")
-    little = lambda x: F.unhex(F.lpad(F.hex(x), 16, "0"))
+    total = index.state.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
+    often = max(POSTINGS_PER_SHARD, -(-total // HOT_KEYS))
+    hot = F.broadcast(index.state.where(F.col("n_docs") >= often).select("h1", "h2", "first_doc"))  # HOT_KEYS rows at most
+    gone = index.postings.join(hot, ["h1", "h2"]).where("doc_id <> first_doc").select(*POSTED)
+    rest = index.postings.join(hot, ["h1", "h2"], "left_anti").withColumn("shard", _shard("h2", index.shards))
+
+    def look_up(key, state, asked):
+        refs, (doc_id, h1, h2) = _references(state), (asked.column(c).to_numpy() for c in POSTED)
+        hits = np.flatnonzero(refs.filter.contains(h1))  # what the filter doesn't know is not looked up
+        place = refs.find(h1[hits], h2[hits])
+        hits, place = hits[place >= 0], place[place >= 0]
+        hits = hits[(refs.n_docs[place] >= LEAST_DOCS) & (refs.first_doc[place] != doc_id[hits])]
+        return pa.table([pa.array(x[hits], pa.int64()) for x in (doc_id, h1, h2)], names=POSTED)
+
+    gone = gone.unionByName(index.state.groupBy("shard").cogroup(rest.groupBy("shard")).applyInArrow(look_up, POSTING))
+    digest_of = F.concat(*[F.unhex(F.lpad(F.hex(h), 16, "0")) for h in ("h1", "h2")])
     # not more keys than the document has lines
-    keys = gone.groupBy("doc_id").agg(F.collect_list(F.concat(little("h1"), little("h2"))).alias("_keys"))
+    keys = gone.groupBy("doc_id").agg(F.collect_list(digest_of).alias("_keys"))
     rows = _narrow(docs).join(keys, "doc_id", "left")
-    swap = _swapped(_dropper(digest))
     last = "kept_sha256 string" if digest else "text string"
-    return rows.mapInArrow(swap, f"doc_id long, n_lines long, n_dropped long, {last}")
-
-
-def _swapped(run):
-    """Keys come as two big-endian numbers; digests hold them in little-endian order."""
-
-    def turned(batches):
-        def each():
-            for b in batches:
-                keys = b.column("_keys")
-                raw = np.frombuffer(b"".join(keys.flatten().to_pylist()), ">i8").astype("<i8").tobytes()
-                flat = pa.array([raw[i : i + 16] for i in range(0, len(raw), 16)], pa.binary())
-                sizes = [0 if x is None else x for x in keys.value_lengths().to_pylist()]
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), flat)
-                names = b.schema.names
-                yield pa.RecordBatch.from_arrays([lists if n == "_keys" else b.column(n) for n in names], names=names)
-
-        return run(each())
-
-    return turned
+    return rows.mapInArrow(_dropper(digest), f"doc_id long, n_lines long, n_dropped long, {last}")
 
 
 def dedup_lines(docs: DataFrame, digest: bool = False) -> DataFrame:
