@@ -1,36 +1,44 @@
 """Exact dedup by content sort: sampled splitters, external sort, comparison of neighbours.
 
-1. A sample of the rows gives splitters over (first characters, hash of the text, doc_id), so that the ranges hold
-   about equally many rows even where one text fills a third of the table.
-2. Each row goes to its range with its whole normalised text; inside a range Spark's external sort puts equal texts
-   next to each other, and every text is compared in full with the one before it.
+1. A sample of the rows gives splitters over the sort's keys (first characters of the normalised text, its hash, doc_id),
+   so that the ranges hold about equally many rows even where one text fills a third of the table. Splitters keep only
+   the first characters so that they stay small; the hash orders what these leave equal.
+2. Each row goes to its range with its whole text; inside a range Spark's external sort puts equal texts next to each
+   other, and every normalised text is compared in full with the one before it.
 3. A group that a splitter cuts is the only kind that lies in more than one range. Of such groups, whose number the
-   number of splitters bounds, the parts are put together again by SHA-256.
+   number of splitters bounds, one text from each range is compared in full again, and the parts are put together.
 
 DataFrame functions only; the text is shuffled once and nothing but narrow rows after that.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Ranges for each shuffle partition: hashing several ranges into a partition evens its size out.
-RANGES_PER_PARTITION = 6
+#: Ranges for each shuffle partition (hashing several ranges into a partition evens its size out), up to so many ranges
+#: in all; from there on a range for each partition.
+RANGES_PER_PARTITION, RANGES = 6, 12_000
 #: Sampled rows for each range.
 SAMPLED_PER_RANGE = 24
 #: Leading characters of the text that order the ranges.
 PREFIX = 24
-#: Splitters below one entry of the upper level of the look-up.
-FAN = 32
+_LAST = (1 << 63) - 1
+
+
+def _keys(norm: Column) -> list[Column]:
+    """What the ranges are cut by: the first characters, the hash and the id (null ids last)."""
+    return [F.substring(norm, 1, PREFIX).alias("_head"), F.xxhash64(norm).alias("_hash"), F.coalesce(F.col("_id"), F.lit(_LAST)).alias("_key")]
 
 
 def _splitters(rows: DataFrame, ranges: int, n_rows: int) -> list[tuple[str, int, int]]:
     fraction = min(1.0, ranges * SAMPLED_PER_RANGE / max(1, n_rows))
-    # the row's own order in the sort: (head, hash, id); the sample has ranges * SAMPLED_PER_RANGE rows, not more for more data
-    seen = sorted(tuple(r) for r in rows.sample(fraction, seed=8).select("_head", "_hash", "_key").collect())
+    # sampled before anything is computed; ranges * SAMPLED_PER_RANGE short rows come, not more for more data
+    seen = sorted(tuple(r) for r in rows.sample(fraction, seed=8).select(*_keys(common.squeezed(F.col("_text")))).collect())
     cuts = [seen[len(seen) * i // ranges] for i in range(1, ranges)] if seen else []
     return sorted(set(cuts))
 
@@ -42,11 +50,39 @@ def _range_of(cuts: list[tuple[str, int, int]]) -> Column:
     below = lambda a: F.size(F.filter(a, lambda x: x <= me))
     if not cuts:
         return F.lit(0)
-    blocks = [cuts[i : i + FAN] for i in range(0, len(cuts), FAN)]
+    fan = isqrt(len(cuts)) + 1
+    blocks = [cuts[i : i + fan] for i in range(0, len(cuts), fan)]
     upper = F.array(*[entry(b[0]) for b in blocks])
     lower = F.array(*[F.array(*[entry(x) for x in b]) for b in blocks])
     block = below(upper)
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * FAN + below(F.element_at(lower, F.greatest(block, F.lit(1)))))
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * fan + below(F.element_at(lower, F.greatest(block, F.lit(1)))))
+
+
+def _sorted(rows: DataFrame, n_rows: int, tie: Column, normal: bool) -> DataFrame:
+    """``rows`` (_id, _text, others) with _key, _cut, _first, _range, _group, _keep, _size and _norm (of rows that are the
+    first of a part of a group that a splitter may cut). ``normal``: the normalised text is shuffled, else the text."""
+    shuffle = common.shuffle_partitions(rows.sparkSession)
+    cuts = _splitters(rows, max(1, shuffle, min(RANGES_PER_PARTITION * shuffle, RANGES)), n_rows)
+    cut = F.col("_hash").isin([int(x[1]) for x in cuts]) if cuts else F.lit(False)
+    norm = common.squeezed(F.col("_text"))
+    if normal:
+        rows, norm = rows.withColumn("_text", norm), F.col("_text")
+    kept = rows.columns
+    rows = rows.select("*", *_keys(norm)).select(*kept, "_key", cut.alias("_cut"), _range_of(cuts).alias("_range"))
+    rows = rows.repartition("_range").withColumn("_norm", norm)
+    sort = Window.partitionBy("_range").orderBy("_norm", "_key", tie)
+    so_far = sort.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_first", ~F.col("_norm").eqNullSafe(F.lag("_norm").over(sort))).withColumn("_at", F.row_number().over(sort))
+    rows = rows.withColumn("_group", F.last(F.when(F.col("_first"), F.col("_at")), ignorenulls=True).over(so_far))
+    return rows.drop("_at")
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Of groups that splitters cut: _range, _group, and the smallest key and size of the whole. Not more rows than twice
+    the splitters (a few for each shuffle partition): small for any input."""
+    same = Window.partitionBy("_norm")
+    parts = rows.where("_cut AND _first").select("_range", "_group", F.min("_keep").over(same).alias("_all_keep"), F.sum("_size").over(same).alias("_all_size"))
+    return F.broadcast(parts)
 
 
 def group_equal_texts(docs: DataFrame, n_rows: int | None = None) -> DataFrame:
@@ -57,36 +93,17 @@ def group_equal_texts(docs: DataFrame, n_rows: int | None = None) -> DataFrame:
     the group has an id, and keep_id is then null. Rows that repeat a doc_id and text are members like others; one of
     them is kept. Other columns of ``docs`` are not read. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    n_rows = docs.count() if n_rows is None else n_rows
-    last = F.lit((1 << 63) - 1)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.squeezed(F.col("text")).alias("_norm"))
-    rows = rows.select(
-        "*",
-        F.substring("_norm", 1, PREFIX).alias("_head"),
-        F.xxhash64("_norm").alias("_hash"),
-        F.coalesce("doc_id", last).alias("_key"),
-    )
-    cuts = _splitters(rows, max(1, RANGES_PER_PARTITION * common.shuffle_partitions(spark)), n_rows)
-    cut = F.col("_hash").isin([int(x[1]) for x in cuts]) if cuts else F.lit(False)
-    rows = rows.select("doc_id", "_key", "_norm", cut.alias("_cut"), _range_of(cuts).alias("_range"))
-
-    sort = Window.partitionBy("_range").orderBy("_norm", "_key")
-    so_far = sort.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_first", ~F.col("_norm").eqNullSafe(F.lag("_norm").over(sort))).withColumn("_at", F.row_number().over(sort))
-    rows = rows.withColumn("_group", F.last(F.when(F.col("_first"), F.col("_at")), ignorenulls=True).over(so_far))
-    rows = rows.select("doc_id", "_key", "_cut", "_range", "_first", "_group", F.sha2("_norm", 256).alias("text_sha256"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"))
+    rows = _sorted(rows, docs.count() if n_rows is None else n_rows, F.lit(0), normal=True)
+    rows = rows.select("_id", "_key", "_cut", "_range", "_first", "_group", F.when(F.col("_cut") & F.col("_first"), F.col("_norm")).alias("_norm"), F.sha2("_norm", 256).alias("text_sha256"))
     group = Window.partitionBy("_range", "_group")
     rows = rows.withColumn("_keep", F.min("_key").over(group)).withColumn("_size", F.count("*").over(group))
-    rows = common.materialise(rows.drop("_group", "_range"), "sorted")
-
-    whole = rows.where("_cut AND _first").groupBy("text_sha256").agg(F.min("_keep").alias("_all_keep"), F.sum("_size").alias("_all_size"))
-    # not more rows than splitters (RANGES_PER_PARTITION times the shuffle partitions): small for any input
-    rows = rows.join(F.broadcast(whole), "text_sha256", "left")
+    rows = common.materialise(rows, "sorted")
+    rows = rows.join(_whole(rows), ["_range", "_group"], "left")
     keep = F.coalesce("_all_keep", "_keep")
     return rows.select(
-        "doc_id",
-        F.nullif(keep, last).alias("keep_id"),
+        F.col("_id").alias("doc_id"),
+        F.nullif(keep, F.lit(_LAST)).alias("keep_id"),
         F.coalesce("_all_size", "_size").cast("long").alias("group_size"),
         (F.col("_first") & (F.col("_keep") == keep) & (F.col("_key") == keep)).alias("kept"),
         "text_sha256",
@@ -94,15 +111,30 @@ def group_equal_texts(docs: DataFrame, n_rows: int | None = None) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text a row with a smaller doc_id has; of rows that repeat doc_id and text, one stays.
+    """``docs`` without the rows whose text a row with a smaller doc_id has; of rows that repeat doc_id and text, one stays:
+    that of the smallest hash over all its columns.
 
-    Rows without a doc_id stay only where no row with their text has one, and then one of them.
+    Null and empty texts equal each other. Rows without a doc_id stay only where no row with their text has one, and
+    then one of them. All columns come through, whatever their names; an empty table stays empty. Rows go through the
+    content sort whole, so the text is shuffled once.
     """
-    key, sha = (next(n for n in (f"{base}{'_' * i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for base in ("_key", "_sha"))
-    number = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias(key)
-    kept = group_equal_texts(docs).where("kept").select(number, F.col("text_sha256").alias(sha))
-    rows = docs.select(*docs.columns, number, F.sha2(common.squeezed(F.col("text")), 256).alias(sha))
-    return rows.join(kept, [key, sha], "left_semi").dropDuplicates([key, sha]).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    hashed = [F.col(f"_row.c{i}") for i, f in enumerate(docs.schema) if "map<" not in f.dataType.simpleString()]
+    at = docs.columns.index("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"), row.alias("_row"))
+    # the text goes once: in the row it is put back afterwards
+    kind = docs.schema["text"].dataType
+    rows = rows.withColumn("_tie", F.xxhash64(*hashed)).withColumn("_row", F.col("_row").withField(f"c{at}", F.lit(None).cast(kind)))
+    rows = _sorted(rows, docs.count(), F.col("_tie"), normal=False)
+    group = F.when(F.col("_cut"), F.col("_norm"))
+    # within a range the first row of a group has its smallest key
+    rows = rows.where("_first").select("_row", "_text", "_range", "_group", "_cut", "_first", F.col("_key").alias("_keep"), F.lit(1).alias("_size"), "_tie", group.alias("_norm"))
+    rows = common.materialise(rows, "sorted")
+    mine = F.struct("_keep", "_tie", "_range")
+    least = rows.where("_cut").select("_range", "_group", F.min(mine).over(Window.partitionBy("_norm")).alias("_least"))
+    rows = rows.join(F.broadcast(least), ["_range", "_group"], "left")  # as few rows as _whole has
+    rows = rows.where(F.col("_least").isNull() | (F.col("_least") == mine))
+    return rows.select(*[(F.col("_text").cast(kind) if i == at else F.col(f"_row.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
 
 
 ORACLE_SQL = r"""

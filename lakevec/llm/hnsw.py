@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from . import common
 
 M, BEAM_BUILD, BEAM_SEARCH, K = 16, 80, 192, 20
-#: A shard's vectors take no more bytes than the one and, while shards are fewer than the cluster's cores, are no more
-#: than the other: a larger shard is searched faster than two, but one task builds it and one row holds it.
-MOST_BYTES, ROWS = 64 << 20, 4096
-#: Queries that a search task takes at once; inside it, queries in one beam search.
-QUERY_BLOCK, TOGETHER, EXPANDED = 4096, 256, 4
+#: A shard holds GROWTH times the square root of the number of rows, at least LEAST_ROWS, and its vectors take no more
+#: than MOST_BYTES: a larger shard is searched faster than two, but one task builds it and one row holds it.
+GROWTH, LEAST_ROWS, MOST_BYTES = 40, 4096, 64 << 20
+#: Bytes of queries that are broadcast at once; inside a task, queries in one beam search.
+QUERY_BYTES, TOGETHER, EXPANDED = 32 << 20, 256, 4
 GRAPH = "shard int, dim int, n int, vectors binary, ids binary, starts binary, nodes array<binary>, neighbours array<binary>"
 FOUND = "query_id long, vec_id long, score double"
 
@@ -273,10 +273,16 @@ def usable(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, i
     return rows.where(F.size("vector") == dim), dim
 
 
+def shards_for(n_rows: int, dim: int, most_bytes: int = MOST_BYTES) -> int:
+    """The number of shards, which follows from the data alone."""
+    rows = max(1, min(max(LEAST_ROWS, int(GROWTH * n_rows**0.5)), most_bytes // (8 * max(1, dim))))
+    return max(1, -(-n_rows // rows))
+
+
 def build_index(rows: DataFrame, dim: int, keep: int = K + 1, most_bytes: int = MOST_BYTES, n_rows: int | None = None) -> tuple[DataFrame, int]:
     """One row per shard with its graph (GRAPH), as a table in the shared folder, and the number of shards."""
     n_rows = rows.count() if n_rows is None else n_rows
-    shards = max(-(-n_rows * 8 * max(1, dim) // most_bytes), min(-(-n_rows // ROWS), rows.sparkSession.sparkContext.defaultParallelism), 1)
+    shards = shards_for(n_rows, dim, most_bytes)
 
     def build(key, table):
         graph = Graph.build(table.column("vec_id").to_numpy(), _matrix(table.column("vector"), dim), keep)
@@ -288,24 +294,35 @@ def build_index(rows: DataFrame, dim: int, keep: int = K + 1, most_bytes: int =
     return common.materialise(dealt.groupBy("shard").applyInArrow(build, GRAPH), "hnsw"), shards
 
 
-def search_index(index: DataFrame, shards: int, queries: DataFrame, dim: int, k: int = K, width: int = BEAM_SEARCH) -> DataFrame:
+def _searcher(queries, k: int, width: int):
+    """A function from a shard's graph to what it finds for the broadcast queries."""
+
+    def search(graphs: pa.Table) -> pa.Table:
+        at = [Graph.of_row(row).nearest(*queries.value, k, width) for row in graphs.to_pylist()]
+        columns = [np.concatenate(x) for x in zip(*at, strict=True)] if at else [np.zeros(0)] * 3
+        return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
+
+    return search
+
+
+def search_index(index: DataFrame, shards: int, queries: DataFrame, dim: int, k: int = K, width: int = BEAM_SEARCH, most_bytes: int = QUERY_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for each row (vec_id, vector) of ``queries``.
 
-    Every shard is searched for every query, in blocks of queries; the shards' lists of ``k`` are then merged.
+    Every shard is searched for every query, in blocks of queries that are broadcast one after the other, so that
+    neither a query's vector nor a graph is copied for each pair of them; the shards' lists of ``k`` are then merged.
     """
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-
-    def search(key, graphs, asked):
-        found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        if len(graphs) and len(asked):
-            graph = Graph.of_row(graphs.to_pylist()[0])
-            found = graph.nearest(asked.column("vec_id").to_numpy(), _matrix(asked.column("vector"), dim), k, width)
-        return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
-
-    block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int").alias("block")
-    asked = queries.select("vec_id", "vector", block).dropDuplicates(["vec_id"]).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    graphs = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = graphs.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(search, FOUND)
+    spark = index.sparkSession
+    queries = queries.select("vec_id", "vector").dropDuplicates(["vec_id"])
+    blocks = max(1, -(-queries.count() * 8 * (dim + 1) // most_bytes))
+    block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
+    asked = common.materialise(queries.withColumn("block", block), "queries") if blocks > 1 else queries.withColumn("block", F.lit(0))
+    found = None
+    for b in range(blocks):
+        part = asked.where(F.col("block") == b).toArrow()  # about ``most_bytes``
+        shared = spark.sparkContext.broadcast((part.column("vec_id").to_numpy(), _matrix(part.column("vector"), dim)))
+        here = common.materialise(index.groupBy("shard").applyInArrow(_searcher(shared, k, width), FOUND), "found")
+        shared.destroy()
+        found = here if found is None else found.unionByName(here)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import html as entities
 import re
+import sys
 import unicodedata
 from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,10 +23,10 @@ from pyspark.sql import functions as F
 
 from .batches import map_texts
 
-#: Elements nested deeper become siblings, as browsers do (at another depth).
-DEPTH = 150
-#: A wider cell is written whole but widens no column, so that padding stays in proportion to the text.
-WIDEST = 60
+#: Elements nested deeper become siblings, as in browsers.
+DEPTH = 512
+#: Columns are as wide as their widest line, up to this; a line beyond it is written whole.
+WIDEST = 1000
 #: Largest span of a cell, as browsers have it for columns.
 SPAN = 1000
 
@@ -71,15 +73,15 @@ _TAG = re.compile(
 _ATTR = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _CLOSED = re.compile(r"(?:\A|[\s\"']|\s[^\s=\"']+)/\Z")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?([.#][\w-]+)?")
+_COMPOUND = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)")
 _WHITE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids", "depth")
+    __slots__ = ("tag", "attrs", "kids", "depth", "parent")
 
-    def __init__(self, tag: str, attrs: dict[str, str], depth: int):
-        self.tag, self.attrs, self.kids, self.depth = tag, attrs, [], depth
+    def __init__(self, tag: str, attrs: dict[str, str], depth: int, parent: Node | None = None):
+        self.tag, self.attrs, self.kids, self.depth, self.parent = tag, attrs, [], depth, parent
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -104,7 +106,7 @@ class Builder:
         moved = parent.tag in ROWS and tag not in STAYS
         if moved:
             parent = self.around_table()
-        node = Node(tag, attributes(raw) if raw and not raw.isspace() else {}, parent.depth + 1)
+        node = Node(tag, attributes(raw) if raw and not raw.isspace() else {}, parent.depth + 1, parent)
         parent.kids.insert(len(parent.kids) - moved, node)
         if tag == "form" and parent.tag in ROWS:
             return node  # the rows and cells after it are the table's
@@ -284,18 +286,74 @@ def presentation(node: Node) -> dict[str, str]:
     return {k: node.attrs[k].strip().lower() for k in names if k in node.attrs}
 
 
-def sheet(texts: list[str]) -> dict[str, dict[str, str]]:
-    """Style by simple selector: ``tag``, ``.class``, ``#id`` and ``tag.class``. At-rules and all other selectors are
-    passed over."""
-    out: dict[str, dict[str, str]] = {}
+class Compound(NamedTuple):
+    """One element of a selector; ``child``: the one before it is its parent, not just above it."""
+
+    tag: str
+    classes: frozenset[str]
+    ids: frozenset[str]
+    child: bool
+
+    def fits(self, node: Node) -> bool:
+        return (not self.tag or self.tag == node.tag) and (not self.ids or self.ids == {node.attrs.get("id")}) and self.classes <= set(node.attrs.get("class", "").split())
+
+
+class Rule(NamedTuple):
+    weight: tuple[int, int, int, int]
+    parts: tuple[Compound, ...]
+    style: dict[str, str]
+
+    def fits(self, node: Node | None, upto: int = -1) -> bool:
+        """Whether the parts up to ``upto`` (the last one, if not given) lead to ``node``."""
+        at = len(self.parts) - 1 if upto < 0 else upto
+        if not self.parts[at].fits(node):
+            return False
+        if at == 0:
+            return True
+        above = node.parent
+        while above is not None and above.tag != "#root":
+            if self.fits(above, at - 1):
+                return True
+            if self.parts[at].child:
+                return False
+            above = above.parent
+        return False
+
+
+def selector(text: str) -> tuple[Compound, ...] | None:
+    parts, child = [], False
+    for x in text.replace(">", " > ").split():
+        if x == ">":
+            child = True
+            continue
+        m = _COMPOUND.fullmatch(x)
+        if not m:
+            return None
+        names = re.findall(r"[.#][\w-]+", m[2])
+        tag = "" if m[1] in (None, "*") else m[1].lower()
+        parts.append(Compound(tag, frozenset(n[1:] for n in names if n[0] == "."), frozenset(n[1:] for n in names if n[0] == "#"), child))
+        child = False
+    return tuple(parts) if parts and not child else None
+
+
+def sheet(texts: list[str]) -> dict[str, list[Rule]]:
+    """Rules by a name that the element must have: an id, a class or a tag (``*``: any).
+
+    Selectors of tags, classes and ids with descendant and child steps are followed; at-rules and all others are passed
+    over. Heavier rules come later, then those that stand later.
+    """
+    out: dict[str, list[Rule]] = {}
     for text in texts:
         text = re.sub(r"/\*.*?(?:\*/|\Z)", "", text, flags=re.S)
         text = re.sub(r"@[^{;]*(?:;|\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}?)", "", text)
         for selectors, declarations in _RULE.findall(text):
             if style := style_of(declarations):
                 for s in selectors.split(","):
-                    if (s := s.strip()) and _SIMPLE.fullmatch(s):
-                        out.setdefault(s, {}).update(style)
+                    if parts := selector(s):
+                        last = parts[-1]
+                        weight = (sum(len(p.ids) for p in parts), sum(len(p.classes) for p in parts), sum(bool(p.tag) for p in parts), sum(map(len, out.values())))
+                        name = next(iter(sorted(f"#{x}" for x in last.ids)), None) or next(iter(sorted(f".{x}" for x in last.classes)), None) or last.tag or "*"
+                        out.setdefault(name, []).append(Rule(weight, parts, style))
     return out
 
 
@@ -368,20 +426,16 @@ class Flow:
 
 
 class Renderer:
-    def __init__(self, css: dict[str, dict[str, str]]):
+    def __init__(self, css: dict[str, list[Rule]]):
         self.css = css
 
     def style(self, node: Node) -> dict[str, str]:
-        attrs, css = node.attrs, self.css
-        out = css.get(node.tag, {}) if css else {}
+        attrs, css, out = node.attrs, self.css, {}
+        if css:
+            names = (node.tag, "*", f"#{attrs.get('id', '')}", *(f".{c}" for c in set(attrs.get("class", "").split())))
+            for rule in sorted((r for n in names for r in css.get(n, ()) if r.fits(node)), key=lambda r: r.weight):
+                out.update(rule.style)
         if attrs:
-            if css:
-                out = dict(out)
-                for c in attrs.get("class", "").split():
-                    out.update(css.get(f".{c}", {}))
-                    out.update(css.get(f"{node.tag}.{c}", {}))
-                if "id" in attrs:
-                    out.update(css.get(f"#{attrs['id']}", {}))
             if "hidden" in attrs and "display" not in out:
                 out = {**out, "display": "none"}
             if "style" in attrs:
@@ -624,6 +678,7 @@ def render(source: str | None) -> str:
     """The visible text of a page; of a null or empty page the empty text."""
     if not source:
         return ""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 12 * DEPTH))  # a few calls for each depth
     root, css = parse(source)
     return "\n".join(Renderer(sheet(css) if css else {}).lines(root, True, False)).strip("\n")
 

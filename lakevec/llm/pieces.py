@@ -1,13 +1,16 @@
 """SentencePiece BPE encoding and decoding by vectorised merge rounds.
 
 A text becomes words: each begins at a space mark that follows other text, since no piece of the vocabulary holds a
-mark after another character. Equal words are encoded once. The words to encode lie in one flat numpy array of symbols.
-Each round takes, per word, the best rank among its adjacent pairs (a segmented minimum), merges the leftmost pair of
-that rank in all words at once, and compacts the array; words without a pair are done. That is the library's rule, in
-which the best score wins and the leftmost of equals goes first, so the ids are the same.
-
-Words over LONG symbols (texts without spaces) would need one round per merge; they follow the same rule with a heap
-instead, in n log n steps.
+mark after another character. Equal words are encoded once. Words are cut further where two characters meet that stand
+next to each other in no piece, as no merge can cross there; what is left are segments. All segments to encode lie in one
+flat numpy array of symbols. Each round takes, per segment, the best rank among its adjacent pairs (a segmented minimum),
+merges the pairs of that rank, and compacts the array; segments without a pair are done.
+
+The library merges the best score first and the leftmost of equals. Where nothing that a merged piece can join ranks
+before the piece itself, all its pairs are merged at once (of overlapping ones those that the leftmost leaves). Where
+something does, it is merged next and may take what is near, so of pairs that lie nearer to each other than two of the
+longest pieces only the leftmost is merged in a round. Both give the library's ids. What a segment (a very long text
+without spaces) has left after ROUNDS rounds is merged by the same rule with a heap, in n log n steps.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from .batches import Memo, map_texts, process_memo
 
 MARK = "▁"
-LONG = 192
+ROUNDS = 1000
 NO_PAIR = np.int32(2**31 - 1)
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -74,6 +77,16 @@ class Vocabulary:
             for k in range(1, len(p)):
                 if (a := self.symbol.get(p[:k])) is not None and (b := self.symbol.get(p[k:])) is not None:
                     found[a * self.n_symbols + b] = (rank[s], i)
+        # ranks whose pieces join nothing that ranks before them or as they do
+        made = {i: rank[s] for i, s in pieces.values()}
+        self.quiet = np.ones(len(scores) + 1, bool)
+        for k, (r, _) in found.items():
+            for part in divmod(k, self.n_symbols):
+                if r <= made.get(part, -1):
+                    self.quiet[made[part]] = False
+        self.reach = 2 * max(map(len, pieces))
+        #: Pairs of characters that stand next to each other in a piece.
+        self.touching = np.unique(np.array([ord(a) << 21 | ord(b) for p in pieces for a, b in zip(p, p[1:], strict=False)], np.int64))
         self.pairs = found
         self.keys = np.array(sorted(found), np.int64)
         self.ranks = np.array([found[k][0] for k in self.keys.tolist()], np.int32)
@@ -86,11 +99,6 @@ class Vocabulary:
         hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.ranks[at], NO_PAIR), at
 
-    def symbols(self, word: str) -> list[int]:
-        """Unknown characters as the negative of their code point, less one."""
-        get = self.symbol.get
-        return [s if (s := get(c)) is not None else -ord(c) - 1 for c in word]
-
     def ids(self, symbols: list[int]) -> list[int]:
         out: list[int] = []
         for s in symbols:
@@ -109,17 +117,7 @@ class Vocabulary:
         return chr(-s - 1) if s < 0 else self._spare()[s]
 
     def encode(self, words: list[str]) -> list[list[int]]:
-        out: list[list[int] | None] = [None] * len(words)
-        short = []
-        for i, w in enumerate(words):
-            if len(w) > LONG:
-                out[i] = self.ids(self.by_heap(self.symbols(w)))
-            else:
-                short.append(i)
-        if short:
-            for i, symbols in zip(short, self.by_rounds([words[i] for i in short]), strict=True):
-                out[i] = self.ids(symbols) if min(symbols, default=0) < 0 or max(symbols, default=0) >= self.size else symbols
-        return out
+        return [self.ids(s) if min(s, default=0) < 0 or max(s, default=0) >= self.size else s for s in self.by_rounds(words)]
 
     def by_rounds(self, words: list[str]) -> list[list[int]]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -128,43 +126,61 @@ class Vocabulary:
         symbol = table[np.minimum(points, len(table) - 1)]
         strange = symbol == self.n_symbols
         symbol = np.where(strange, -points - 1, symbol).astype(np.int32)
-        word = np.repeat(np.arange(len(words)), lengths)
-        done_word, done_symbol = [], []
+        owner = np.repeat(np.arange(len(words)), lengths)
+        # a segment ends with its word and where no piece has the two characters side by side
+        meet = points[:-1] << 21 | points[1:]
+        at = np.minimum(np.searchsorted(self.touching, meet), len(self.touching) - 1)
+        apart = (owner[:-1] != owner[1:]) | (self.touching[at] != meet)
+        segment = np.r_[0, np.cumsum(apart)] if len(points) else np.zeros(0, np.int64)
+        begin = np.arange(len(points))
+        owner = owner[np.r_[True, apart]] if len(points) else owner
+        done_segment, done_symbol = [], []
         rank = np.full(len(symbol), NO_PAIR, np.int32)  # of the pair that begins here
         place = np.zeros(len(symbol), np.int64)
-        inside = np.flatnonzero(word[:-1] == word[1:])
+        inside = np.flatnonzero(segment[:-1] == segment[1:])
         rank[inside], place[inside] = self.rank_of(symbol[inside], symbol[inside + 1])
+        rounds = 0
         while len(symbol):
-            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            if (rounds := rounds + 1) > ROUNDS:
+                cuts = np.flatnonzero(segment[1:] != segment[:-1]) + 1
+                for of, left in zip(segment[np.r_[0, cuts]].tolist(), np.split(symbol, cuts), strict=True):
+                    done_symbol.append(np.array(self.by_heap(left.tolist()), np.int32))
+                    done_segment.append(np.full(len(done_symbol[-1]), of))
+                break
+            starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
             best = np.minimum.reduceat(rank, starts)
-            sizes = np.diff(np.r_[starts, len(word)])
+            sizes = np.diff(np.r_[starts, len(segment)])
             live = best < NO_PAIR
             if not live.all():
                 keep = np.repeat(live, sizes)
-                done_word.append(word[~keep])
+                done_segment.append(segment[~keep])
                 done_symbol.append(symbol[~keep])
-                symbol, word, rank, place = symbol[keep], word[keep], rank[keep], place[keep]
+                symbol, segment, rank, place, begin = symbol[keep], segment[keep], rank[keep], place[keep], begin[keep]
                 best, sizes = best[live], sizes[live]
                 if not len(symbol):
                     break
             hits = np.flatnonzero(rank == np.repeat(best, sizes))
-            hits = hits[np.r_[True, word[hits[1:]] != word[hits[:-1]]]]  # the leftmost of each word
+            # of pairs that overlap every second one, from the left; of such that could meet the leftmost
+            alone = np.r_[True, (segment[hits[1:]] != segment[hits[:-1]]) | (begin[hits[1:]] - begin[hits[:-1]] >= self.reach)]
+            first = np.r_[True, hits[1:] != hits[:-1] + 1]
+            since = np.arange(len(hits)) - np.maximum.accumulate(np.where(first, np.arange(len(hits)), 0))
+            hits = hits[np.where(self.quiet[rank[hits]], since % 2 == 0, alone)]
             symbol[hits] = self.merged[place[hits]]
             keep = np.ones(len(symbol), bool)
             keep[hits + 1] = False
             at = hits - np.arange(len(hits))  # where the merged symbols are after the compaction
-            symbol, word, rank, place = symbol[keep], word[keep], rank[keep], place[keep]
+            symbol, segment, rank, place, begin = symbol[keep], segment[keep], rank[keep], place[keep], begin[keep]
             last = len(symbol) - 1
             rank[at] = NO_PAIR
             for left in (at, at - 1):
                 ok = left[(left >= 0) & (left < last)]
-                ok = ok[word[ok] == word[ok + 1]]
+                ok = ok[segment[ok] == segment[ok + 1]]
                 rank[ok], place[ok] = self.rank_of(symbol[ok], symbol[ok + 1])
         out: list[list[int]] = [[] for _ in words]
-        if done_word:
-            word, symbol = np.concatenate(done_word), np.concatenate(done_symbol)
-            order = np.argsort(word, kind="stable")
-            word, symbol = word[order], symbol[order]
+        if done_segment:
+            segment, symbol = np.concatenate(done_segment), np.concatenate(done_symbol)
+            order = np.argsort(segment, kind="stable")
+            word, symbol = owner[segment[order]], symbol[order]
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]).tolist()
             values = symbol.tolist()
             for w, a, b in zip(word[starts].tolist(), starts, [*starts[1:], len(values)], strict=True):
