@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -28,3 +31,9 @@ def sample(df: DataFrame, ratio: float, seed: int = 1) -> DataFrame:
     if ratio <= 0:
         raise ValueError("the ratio must be over 0")
     return df if ratio > 0.99 else df.sample(False, ratio, seed)
+
+
+@F.pandas_udf(T.DoubleType())
+def geometric_mean(values: pd.Series) -> float:
+    """A user-defined aggregate over Arrow batches: the values of one group, which are narrow, come to one task."""
+    return float(np.exp(np.log(values).mean()))

@@ -269,10 +269,10 @@ def rename_project_drop(spark, d):
     return _t(spark, d, "orders").withColumnsRenamed({"o_orderkey": "id", "o_totalprice": "price"}).withColumn("source", F.lit("orders")).drop("o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey < 1000 AND o_totalprice >= 1000 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus LIKE 'F%'")
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice BETWEEN 1000 AND 200000 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus LIKE 'F%'")
 def range_filter(spark, d):
     o = _t(spark, d, "orders")
-    return o.where((o.o_orderkey < 1000) & (o.o_totalprice >= 1000) & o.o_orderpriority.isin("1-URGENT", "2-HIGH") & o.o_orderstatus.startswith("F")).select("o_orderkey", "o_totalprice")
+    return o.where(o.o_totalprice.between(1000, 200000) & o.o_orderpriority.isin("1-URGENT", "2-HIGH") & o.o_orderstatus.startswith("F")).select("o_orderkey", "o_totalprice")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50")
@@ -401,7 +401,10 @@ def int64_shard(spark, d):
     return _t(spark, d, "customer").select("c_custkey", hashing.hash_int64(key).alias("hash"), hashing.shard_of_int64(key, 8).alias("shard"))
 
 
-@query()
+@query("""WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) AS tab),
+  h AS (SELECT c_custkey, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(c_name, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS hash FROM customer, t)
+  SELECT c_custkey, hash, hash % 8 AS shard FROM h""")
 def crc_shard(spark, d):
     key = F.col("c_name")
     return _t(spark, d, "customer").select("c_custkey", hashing.hash_string(key).alias("hash"), hashing.shard_of_string(key, 8).alias("shard"))
@@ -429,12 +432,8 @@ def _order_rows(spark, d):
     )
 
 
-def _local(path: str) -> str:
-    return path.removeprefix("file://").removeprefix("file:")
-
-
 def _written(spark, d, name: str, nested: bool = False) -> str:
-    base = _local(storage.scratch(spark, name))
+    base = storage.scratch(spark, name)
     under = f"{base}/binlogs" if nested else base
     column_log.write_files(column_log.encode_segments(_order_rows(spark, d), _ORDERS, _COLLECTION), under, _COLLECTION, nested=nested)
     return base
@@ -443,38 +442,38 @@ def _written(spark, d, name: str, nested: bool = False) -> str:
 @query("SELECT o_orderkey, o_totalprice, o_orderstatus, epoch_us(o_orderdate) // 1000 AS ts FROM orders")
 def column_log_roundtrip(spark, d):
     base = _written(spark, d, "logs")
-    rows = logs.read_segments(spark, f"file:{base}/insert_log/{_COLLECTION}", _ORDERS)
+    rows = logs.read_segments(spark, f"{base}/insert_log/{_COLLECTION}", _ORDERS)
     return rows.select("o_orderkey", "o_totalprice", "o_orderstatus", F.col("_ts").alias("ts"))
 
 
 @query("SELECT ascii(o_orderstatus) AS partition_id, count(*) AS rows FROM orders GROUP BY 1")
 def log_meta_rows(spark, d):
     base = _written(spark, d, "meta")
-    meta = logs.read_meta(spark, f"file:{base}/insert_log/{_COLLECTION}")
+    meta = logs.read_meta(spark, f"{base}/insert_log/{_COLLECTION}")
     return meta.where("field_id = 100").groupBy(F.col("partition_id").cast("int").alias("partition_id")).agg(F.sum("rows").alias("rows"))
 
 
 @query("SELECT count(*) AS rows, min(o_orderkey) AS least, max(o_orderkey) AS most FROM orders")
 def log_footer_stats(spark, d):
     base = _written(spark, d, "stats")
-    s = logs.read_stats(spark, f"file:{base}/insert_log/{_COLLECTION}").where("field_id = 100")
+    s = logs.read_stats(spark, f"{base}/insert_log/{_COLLECTION}").where("field_id = 100")
     return s.agg(F.sum("rows").alias("rows"), F.min(F.col("min").cast("long")).alias("least"), F.max(F.col("max").cast("long")).alias("most"))
 
 
-def _delete_files(spark, d, base: str, nested: bool = False) -> None:
+def _delete_files(spark, d, base: str, nested: bool = False, within: str = "o_orderkey % 7 = 0", over: str = "o_orderkey % 11 = 0") -> None:
     o = _t(spark, d, "orders")
     ts = F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ts")
-    inside = o.where("o_orderkey % 7 = 0").select(F.ascii("o_orderstatus").cast("long").alias("partition_id"), F.lit(1).cast("long").alias("segment_id"), F.col("o_orderkey").alias("pk"), ts)
-    wide = o.where("o_orderkey % 11 = 0").select(F.lit(-1).cast("long").alias("partition_id"), F.lit(2).cast("long").alias("segment_id"), F.col("o_orderkey").alias("pk"), (F.col("o_orderkey") % 2 * 4_000_000_000_000).alias("ts"))
+    inside = o.where(within).select(F.ascii("o_orderstatus").cast("long").alias("partition_id"), F.lit(1).cast("long").alias("segment_id"), F.col("o_orderkey").alias("pk"), ts)
+    wide = o.where(over).select(F.lit(-1).cast("long").alias("partition_id"), F.lit(2).cast("long").alias("segment_id"), F.col("o_orderkey").alias("pk"), (F.col("o_orderkey") % 2 * 4_000_000_000_000).alias("ts"))
     column_log.write_files(column_log.encode_deletes(inside.unionByName(wide), _COLLECTION), base, _COLLECTION, "delta_log", nested)
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS pk, epoch_us(o_orderdate) // 1000 AS ts, CAST(ascii(o_orderstatus) AS BIGINT) AS partition_id FROM orders WHERE o_orderkey % 7 = 0
-  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderkey % 2 * 4000000000000, -1 FROM orders WHERE o_orderkey % 11 = 0""")
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS pk, epoch_us(o_orderdate) // 1000 AS ts, CAST(ascii(o_orderstatus) AS BIGINT) AS partition_id FROM orders
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), o_orderkey % 2 * 4000000000000, -1 FROM orders""")
 def delta_log_roundtrip(spark, d):
-    base = _local(storage.scratch(spark, "deltas"))
-    _delete_files(spark, d, base)
-    return logs.read_deletes(spark, f"file:{base}/delta_log/{_COLLECTION}").select("pk", "ts", "partition_id")
+    base = storage.scratch(spark, "deltas")
+    _delete_files(spark, d, base, within="true", over="true")
+    return logs.read_deletes(spark, f"{base}/delta_log/{_COLLECTION}").select("pk", "ts", "partition_id")
 
 
 _LIVE = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 7 <> 0 AND NOT (o_orderkey % 11 = 0 AND o_orderkey % 2 = 1)"
@@ -484,11 +483,11 @@ _LIVE = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orde
 def collection_read(spark, d):
     base = _written(spark, d, "live")
     _delete_files(spark, d, base)
-    return plans.read_collection(spark, f"file:{base}", _ORDERS, _COLLECTION)
+    return plans.read_collection(spark, f"{base}", _ORDERS, _COLLECTION)
 
 
-@query(_LIVE)
-def backup_restore(spark, d):
+def _backup(spark, d) -> str:
+    """A folder with a backup of the orders, their deletes and the backup's metadata."""
     import json
 
     base = _written(spark, d, "backup", nested=True)
@@ -507,10 +506,107 @@ def backup_restore(spark, d):
             "l0_segments": [{"segment_id": 2, "partition_id": -1}],
         }],
     }
-    spark.createDataFrame([(json.dumps(tree),)], "value string").coalesce(1).write.text(f"file:{base}/made")
-    name = next(x for x in storage.list_files(spark, f"file:{base}/made") if x.endswith(".txt"))
-    Catalog(spark, base)._write(f"file:{base}/meta/full_meta.json", Catalog(spark, base)._read(name))
-    return plans.read_backup_collection(spark, f"file:{base}", "orders", "default")
+    spark.createDataFrame([(json.dumps(tree),)], "value string").coalesce(1).write.text(f"{base}/made")
+    name = next(x for x in storage.list_files(spark, f"{base}/made") if x.endswith(".txt"))
+    Catalog(spark, base)._write(f"{base}/meta/full_meta.json", Catalog(spark, base)._read(name))
+    return base
+
+
+@query(_LIVE)
+def backup_restore(spark, d):
+    return plans.read_backup_collection(spark, _backup(spark, d), "orders", "default")
+
+
+@query(_LIVE)
+def backup_restored_store(spark, d):
+    root = storage.scratch(spark, "restored")
+    plans.restore(spark, _backup(spark, d), "orders", root)
+    return Catalog(spark, root).read("default", "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+@query(f"SELECT l.*, n FROM ({_LIVE}) l LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) i ON o_orderkey = l_orderkey")
+def backup_to_parquet(spark, d):
+    out = storage.scratch(spark, "parquet")
+    side = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
+    plans.backup_to_parquet(spark, _backup(spark, d), "orders", out, side, "o_orderkey", files=4)
+    return spark.read.parquet(out).select("o_orderkey", "o_totalprice", "o_orderstatus", "n")
+
+
+@query("SELECT o_orderkey AS val FROM orders")
+def datasource_roundtrip(spark, d):
+    from .sources import datasource
+
+    datasource.register(spark)
+    path = storage.scratch(spark, "column-log")
+    _t(spark, d, "orders").select(F.col("o_orderkey").alias("val")).write.format("column_log").option("path", path).mode("append").save()
+    return spark.read.format("column_log").load(path)
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def collection_source(spark, d):
+    from .sources import datasource
+
+    datasource.register(spark)
+    root, rows = storage.scratch(spark, "store"), _t(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    given = {"collection.name": "c", "collection.primaryKeyField": "c_custkey"}
+    rows.write.format("collection").options(**given).mode("append").save(root)
+    return spark.read.format("collection").options(**given).load(root).select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS pk, epoch_us(o_orderdate) // 1000 AS ts FROM orders")
+def delete_logs_by_glob(spark, d):
+    base = storage.scratch(spark, "glob")
+    _delete_files(spark, d, base, within="true", over="false")
+    return logs.read_deletes(spark, f"{base}/delta_log/{_COLLECTION}/*/1/*").select("pk", "ts")
+
+
+@query("SELECT event_id, user_id, event_type, value FROM events")
+def json_lines_with_schema(spark, d):
+    path = storage.scratch(spark, "json-lines")
+    rows = _t(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    rows.write.json(path)
+    return json_source.read_rows(spark, path, rows.schema, wrapped=False)
+
+
+@query("""SELECT o_orderkey, json_valid(CASE WHEN o_orderkey % 3 = 0 THEN '{"pk": ' || o_orderkey || '}' WHEN o_orderkey % 3 = 1 THEN '{"pk": ' || o_orderkey ELSE '[' || o_orderkey || ', null]' END) AS ok FROM orders""")
+def json_validity(spark, d):
+    text = F.expr("""CASE WHEN o_orderkey % 3 = 0 THEN '{"pk": ' || o_orderkey || '}' WHEN o_orderkey % 3 = 1 THEN '{"pk": ' || o_orderkey ELSE '[' || o_orderkey || ', null]' END""")
+    return _t(spark, d, "orders").select("o_orderkey", jsonfn.valid(text).alias("ok"))
+
+
+# --- joins, sets, SQL text, functions and aggregates of one's own
+
+
+@query("SELECT l_orderkey AS k FROM lineitem INTERSECT ALL SELECT o_orderkey FROM orders")
+def intersect_all_keys(spark, d):
+    return _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("k")).intersectAll(_t(spark, d, "orders").select("o_orderkey"))
+
+
+@query("SELECT c_custkey, count(o_orderkey) AS orders FROM orders RIGHT JOIN customer ON o_custkey = c_custkey GROUP BY 1")
+def right_join(spark, d):
+    both = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"), "right")
+    return both.groupBy("c_custkey").agg(F.count("o_orderkey").alias("orders"))
+
+
+_TEXT = "SELECT o_orderpriority, count(*) AS n, max(o_totalprice) AS most FROM {orders} WHERE o_orderdate >= DATE '1995-01-01' GROUP BY o_orderpriority HAVING count(*) > 1"
+
+
+@query(_TEXT.replace("{orders}", "orders"))
+def sql_text(spark, d):
+    return spark.sql(_TEXT, orders=_t(spark, d, "orders"))
+
+
+@query("SELECT c_mktsegment, round(exp(avg(ln(abs(c_acctbal) + 1))), 4) AS geometric FROM customer GROUP BY 1")
+def own_aggregate(spark, d):
+    return _t(spark, d, "customer").groupBy("c_mktsegment").agg(F.round(stats.geometric_mean(F.abs("c_acctbal") + 1), 4).alias("geometric"))
+
+
+@query("""SELECT c_custkey, upper(substr(c_name, 1, 4)) || '-' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS code, length(c_name) AS size,
+  floor(abs(c_acctbal)) AS whole, CAST(round(sqrt(abs(c_acctbal)), 4) AS DOUBLE) AS root FROM customer""")
+def scalar_functions(spark, d):
+    bal = F.abs(F.col("c_acctbal").cast("double"))
+    code = F.concat(F.upper(F.substring("c_name", 1, 4)), F.lit("-"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))
+    return _t(spark, d, "customer").select("c_custkey", code.alias("code"), F.length("c_name").cast("long").alias("size"), F.floor(bal).cast("double").alias("whole"), F.round(F.sqrt(bal), 4).alias("root"))
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events")
@@ -548,7 +644,7 @@ def collection_search(spark, d):
     return catalog.search("default", "v", "embedding", _asked(spark, d)).withColumn("score", F.round("score", 6))
 
 
-@query()
+@query("SELECT item_id, CAST(32 AS INTEGER) AS dim FROM benchmark")
 def text_embedding(spark, d):
     from .plans.embed import embed
 

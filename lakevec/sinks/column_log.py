@@ -50,31 +50,23 @@ def encode_deletes(deletes: DataFrame, collection_id: int, pk_type: FieldType =
 
 
 def write_files(files: DataFrame, base: str, collection_id: int, kind: str = "insert_log", nested: bool = False) -> int:
-    """Put the files below ``base``/``kind``; their number. Written by tasks through Hadoop's file system, staged under
-    hidden names by the driver's listing of a temporary table, so that a lost task leaves nothing behind.
+    """Put the files below ``base``/``kind``; their number.
 
+    Tasks write them through the file system of ``base`` (any that Python workers have; ValueError for others), each
+    under a hidden name before it gets its own, so that a lost task leaves no half file and a repeated one the same file.
     ``nested`` repeats the segment's folder, as backups have it.
     """
+    if not storage.worker_can_open(base):
+        raise ValueError(f"column logs can't be written to {base}")
     staged = storage.materialise(files, "files")
     target = F.concat_ws("/", F.lit(base.rstrip("/")), F.lit(kind), F.lit(str(collection_id)), "partition_id", "segment_id", *(["segment_id"] if nested else []), *(["field_id"] if kind == "insert_log" else []), F.lit("0"))
     put = staged.select(target.alias("path"), "content")
-    local = base.removeprefix("file://").removeprefix("file:")
-    if "://" in local:
-        raise ValueError("column logs are written to local or mounted folders")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-        import uuid
-
         n = 0
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                path = path.removeprefix("file://").removeprefix("file:")
-                os.makedirs(os.path.dirname(path), exist_ok=True)
-                hidden = f"{os.path.dirname(path)}/_staging_{uuid.uuid4().hex}"
-                with open(hidden, "wb") as f:
-                    f.write(content)
-                os.replace(hidden, path)  # a repeated task writes the same file again
+                storage.put(path, content)
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 

@@ -19,10 +19,12 @@ def _list(path: str) -> list[str]:
 
     from pyarrow import fs
 
+    from lakevec.storage import worker_fs
+
     base, name = path, None
     if any(c in posixpath.basename(path) for c in "*?"):
         base, name = posixpath.split(path)
-    system, inner = fs.FileSystem.from_uri(base.replace("s3a://", "s3://")) if "://" in base or base.startswith("file:") else (fs.LocalFileSystem(), base)
+    system, inner = worker_fs(base)
     info = system.get_file_info(inner)
     if info.type == fs.FileType.File:
         return [inner]
@@ -34,10 +36,9 @@ def _list(path: str) -> list[str]:
 
 
 def _read(base: str, path: str) -> bytes:
-    from pyarrow import fs
+    from lakevec.storage import worker_fs
 
-    system = fs.FileSystem.from_uri(base.replace("s3a://", "s3://"))[0] if "://" in base or base.startswith("file:") else fs.LocalFileSystem()
-    with system.open_input_stream(path) as f:
+    with worker_fs(base)[0].open_input_stream(path) as f:
         return f.read()
 
 
@@ -48,14 +49,23 @@ class _File(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, rows):
-        self.path, self.rows = path, rows
+    """``rows`` makes the rows of a file out of its path and bytes, or, with ``footers``, of its headers and footers."""
+
+    def __init__(self, path: str, rows, footers: bool = False):
+        self.path, self.rows, self.footers = path, rows, footers
 
     def partitions(self):
         return [_File(p) for p in _list(self.path)]
 
     def read(self, partition):
-        yield from self.rows(partition.path, _read(self.path, partition.path))
+        if not self.footers:
+            yield from self.rows(partition.path, _read(self.path, partition.path))
+            return
+        from lakevec.sources import codec
+        from lakevec.storage import worker_fs
+
+        with worker_fs(self.path)[0].open_input_file(partition.path) as f:
+            yield from self.rows(partition.path, *codec.scan(f, f.size()))
 
 
 class ColumnLog(DataSource):
@@ -96,14 +106,41 @@ class _Written(WriterCommitMessage):
         self.path, self.rows = path, rows
 
 
+class _Staged:
+    """Files below ``folder`` under hidden names, on its own file system; commit gives them their names, abort removes
+    them. ValueError for a store that Python workers can't open, before any row is written."""
+
+    def __init__(self, folder: str):
+        from lakevec.storage import worker_fs
+
+        worker_fs(folder)
+        self.folder = folder
+
+    def place(self):
+        from lakevec.storage import worker_fs
+
+        return worker_fs(self.folder)
+
+    def publish(self, message, name: str) -> None:
+        system, inner = self.place()
+        system.move(message.path, f"{inner}/{name}")
+
+    def drop(self, messages) -> None:
+        import contextlib
+
+        for m in messages:
+            if m and m.path:
+                with contextlib.suppress(OSError):
+                    self.place()[0].delete_file(m.path)
+
+
 class _ColumnLogWriter(DataSourceWriter):
     """One file per task, staged under a hidden name; commit gives the files their names, abort removes them."""
 
     def __init__(self, options, field: Field):
-        self.options, self.field = dict(options), field
+        self.options, self.field, self.staged = dict(options), field, _Staged(options["path"])
 
     def write(self, rows):
-        import os
         import uuid
 
         import pyarrow as pa
@@ -117,27 +154,19 @@ class _ColumnLogWriter(DataSourceWriter):
         stored = codec.to_storage(pa.array(values, codec.arrow_type(f)), f)
         number = lambda k: int(o.get(k, 0))
         of = codec.Descriptor(number("collectionId"), number("partitionId"), number("segmentId"), f.field_id, number("startTs"), number("endTs"), int(f.type))
-        folder = o["path"].removeprefix("file://").removeprefix("file:")
-        os.makedirs(folder, exist_ok=True)
+        system, folder = self.staged.place()
+        system.create_dir(folder, recursive=True)
         path = f"{folder}/_staging_{uuid.uuid4().hex}"
-        with open(path, "wb") as out:
+        with system.open_output_stream(path) as out:
             out.write(codec.encode(pa.table({"val": stored}), of))
         return _Written(path, len(values))
 
     def commit(self, messages):
-        import os
-
         for i, m in enumerate(m for m in messages if m and m.path):
-            os.rename(m.path, f"{os.path.dirname(m.path)}/{i:06d}_{os.path.basename(m.path)[9:17]}")
+            self.staged.publish(m, f"{i:06d}_{m.path.rpartition('/')[2][9:17]}")
 
     def abort(self, messages):
-        import contextlib
-        import os
-
-        for m in messages:
-            if m and m.path:
-                with contextlib.suppress(OSError):
-                    os.remove(m.path)
+        self.staged.drop(messages)
 
 
 class DeleteLog(DataSource):
@@ -168,14 +197,10 @@ class LogMeta(DataSource):
         return "path string, collection_id long, partition_id long, segment_id long, field_id long, start_ts long, end_ts long, payload_type int, events int, rows long"
 
     def reader(self, schema):
-        def rows(path: str, data: bytes):
-            from lakevec.sources import codec
+        def rows(path: str, d, footers):
+            yield (path, d.collection_id, d.partition_id, d.segment_id, d.field_id, d.start_ts, d.end_ts, d.payload_type, len(footers), sum(m.num_rows for _, m in footers))
 
-            d, events = codec.read_descriptor(data), list(codec.read_events(data))
-            n = sum(codec.payload_file(e.payload).metadata.num_rows for e in events)
-            yield (path, d.collection_id, d.partition_id, d.segment_id, d.field_id, d.start_ts, d.end_ts, d.payload_type, len(events), n)
-
-        return _Reader(self.options["path"], rows)
+        return _Reader(self.options["path"], rows, footers=True)
 
 
 class LogStats(DataSource):
@@ -187,11 +212,8 @@ class LogStats(DataSource):
         return "path string, column string, rows long, nulls long, min string, max string"
 
     def reader(self, schema):
-        def rows(path: str, data: bytes):
-            from lakevec.sources import codec
-
-            for event in codec.read_events(data):
-                meta = codec.payload_file(event.payload).metadata
+        def rows(path: str, d, footers):
+            for _, meta in footers:
                 for g in range(meta.num_row_groups):
                     for c in range(meta.num_columns):
                         column = meta.row_group(g).column(c)
@@ -199,7 +221,7 @@ class LogStats(DataSource):
                         ok = s is not None and s.has_min_max
                         yield (path, column.path_in_schema, meta.row_group(g).num_rows, s.null_count if s is not None else None, str(s.min) if ok else None, str(s.max) if ok else None)
 
-        return _Reader(self.options["path"], rows)
+        return _Reader(self.options["path"], rows, footers=True)
 
 
 class Collection(DataSource):
@@ -220,18 +242,19 @@ class Collection(DataSource):
         o = Options({k: v for k, v in self.options.items() if k.lower() != "path"})
         if not o["collection.name"]:
             raise ValueError("collection.name is missing")
-        return o, f"{self.options['path'].removeprefix('file://').removeprefix('file:').rstrip('/')}/{o.database or 'default'}/{o['collection.name']}"
+        return o, f"{self.options['path'].rstrip('/')}/{o.database or 'default'}/{o['collection.name']}"
 
     def _stored(self):
-        import os
+        from pyarrow import fs
 
+        from lakevec.storage import worker_fs
         from lakevec.types import CollectionSchema
 
-        path = f"{self._place()[1]}/schema.json"
-        if not os.path.exists(path):
+        system, path = worker_fs(f"{self._place()[1]}/schema.json")
+        if system.get_file_info(path).type != fs.FileType.File:
             return None
-        with open(path) as f:
-            return CollectionSchema.loads(f.read())
+        with system.open_input_stream(path) as f:
+            return CollectionSchema.loads(f.read().decode())
 
     def schema(self) -> StructType:
         stored = self._stored()
@@ -254,17 +277,14 @@ class Collection(DataSource):
         return _Reader(part, rows)
 
     def writer(self, schema, overwrite: bool):
-        import os
-
+        from lakevec.storage import put
         from lakevec.types import CollectionSchema
 
         o, folder = self._place()
         stored = self._stored()
         if stored is None:
             stored = CollectionSchema.from_struct(o["collection.name"], schema, o["collection.primaryKeyField"], o["collection.vectorField"], o.number("collection.vectorDim"), o.flag("collection.autoID"))
-            os.makedirs(folder, exist_ok=True)
-            with open(f"{folder}/schema.json", "w") as f:
-                f.write(stored.dumps())
+            put(f"{folder}/schema.json", stored.dumps().encode())
         missing = [f.name for f in stored.fields if f.name not in schema.fieldNames() and not f.auto_id and not f.nullable]
         if missing:
             raise ValueError(f"no column is named {missing[0]}")
@@ -273,10 +293,9 @@ class Collection(DataSource):
 
 class _CollectionWriter(DataSourceArrowWriter):
     def __init__(self, folder: str, stored, batch: int, overwrite: bool):
-        self.folder, self.stored, self.batch, self.overwrite = folder, stored, batch, overwrite
+        self.staged, self.stored, self.batch, self.overwrite = _Staged(folder), stored, batch, overwrite
 
     def write(self, batches):
-        import os
         import time
         import uuid
 
@@ -285,8 +304,9 @@ class _CollectionWriter(DataSourceArrowWriter):
 
         from lakevec.sources import codec
 
-        os.makedirs(self.folder, exist_ok=True)
-        path, out, n = f"{self.folder}/_staging_{uuid.uuid4().hex}.parquet", None, 0
+        system, folder = self.staged.place()
+        system.create_dir(folder, recursive=True)
+        path, out, n = f"{folder}/_staging_{uuid.uuid4().hex}.parquet", None, 0
         fields = self.stored.fields
         kinds = pa.schema([(f.name, codec.arrow_type(f)) for f in fields])
         first = time.time_ns() >> 20 << 20 | (uuid.uuid4().int & 0xFFF) << 8
@@ -302,7 +322,7 @@ class _CollectionWriter(DataSourceArrowWriter):
                     if f.type.is_vector and f.dim:
                         codec.to_storage(values, f)  # checks the lengths
                     columns.append(values)
-            out = out or pq.ParquetWriter(path, kinds)
+            out = out or pq.ParquetWriter(path, kinds, filesystem=system)
             out.write_table(pa.Table.from_arrays(columns, schema=kinds), row_group_size=max(1, self.batch))
             n += b.num_rows
         if out:
@@ -310,23 +330,18 @@ class _CollectionWriter(DataSourceArrowWriter):
         return _Written(path if out else None, n)
 
     def commit(self, messages):
-        import os
+        from pyarrow import fs
 
-        old = [f"{self.folder}/{x}" for x in os.listdir(self.folder) if x.startswith("part-")] if self.overwrite and os.path.isdir(self.folder) else []
+        system, folder = self.staged.place()
+        old = [x.path for x in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if x.base_name.startswith("part-")] if self.overwrite else []
         for m in messages:
             if m and m.path:
-                os.rename(m.path, m.path.replace("_staging_", "part-"))
+                self.staged.publish(m, m.path.rpartition("/")[2].replace("_staging_", "part-"))
         for x in old:
-            os.remove(x)
+            system.delete_file(x)
 
     def abort(self, messages):
-        import contextlib
-        import os
-
-        for m in messages:
-            if m and m.path:
-                with contextlib.suppress(OSError):
-                    os.remove(m.path)
+        self.staged.drop(messages)
 
 
 def register(spark: SparkSession) -> None:

@@ -1,12 +1,15 @@
-"""Log files as DataFrames, through Spark's own file reader, so that any store that Spark reads will do.
+"""Log files as DataFrames.
 
-``binaryFile`` lists, prunes and deals the files; Arrow functions decode them where they are read. A segment's columns
-are separate files of equal length; they are brought together by segment, once, and zipped by position in one task, so
-no column is joined to another.
+``binaryFile`` lists, prunes and deals the files. Where Python workers know the store, only paths are listed and shuffled:
+a task opens the files of its segments itself, and footers and headers are read without the values between them. On
+stores that only Spark can open, contents come from Spark's reader. A segment's columns are separate files of equal
+length; they are brought together by segment, once, and zipped by position in one task, so no column is joined to
+another.
 """
 
 from __future__ import annotations
 
+import io
 import re
 from collections.abc import Iterator
 
@@ -35,6 +38,29 @@ def files(spark: SparkSession, paths: str | list[str], pattern: str | None = Non
     return reader.load(paths).select("path", "content")
 
 
+def listed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, length) of all files below ``paths``, none of which is opened."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "length")
+
+
+def _scanned(spark: SparkSession, paths: str | list[str], step, schema: str) -> DataFrame:
+    """``step(path, size, descriptor, footers)`` of each file."""
+
+    def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, size in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                system, inner = storage.worker_fs(path)
+                with system.open_input_file(inner) as f:
+                    yield step(path, size, *codec.scan(f, size))
+
+    def given(path: str, content: bytes):
+        return step(path, len(content), *codec.scan(io.BytesIO(content), len(content)))
+
+    if all(storage.worker_can_open(x) for x in ([paths] if isinstance(paths, str) else paths)):
+        return listed(spark, paths).mapInArrow(here, schema)
+    return files(spark, paths).mapInArrow(_decode(given), schema)
+
+
 def _decode(step):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,20 +85,17 @@ def read_column(spark: SparkSession, paths: str | list[str], field: Field) -> Da
 
 
 def read_meta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """A row for each file: what its descriptor says, its events and rows."""
+    """A row for each file: what its descriptor says, its events and rows. Only headers and footers are read."""
 
-    def step(path: str, content: bytes) -> pa.RecordBatch:
-        d = codec.read_descriptor(content)
-        events = list(codec.read_events(content))
-        rows = sum(codec.payload_file(e.payload).metadata.num_rows for e in events)
+    def step(path: str, size: int, d: codec.Descriptor, footers) -> pa.RecordBatch:
         row = {
             "path": path, "collection_id": d.collection_id, "partition_id": d.partition_id, "segment_id": d.segment_id, "field_id": d.field_id,
             "start_ts": d.start_ts, "end_ts": d.end_ts, "payload_type": d.payload_type, "post_header_lengths": list(d.post_header_lengths),
-            "extras": [(k, str(v)) for k, v in d.extras.items()], "events": len(events), "rows": rows, "bytes": len(content),
+            "extras": [(k, str(v)) for k, v in d.extras.items()], "events": len(footers), "rows": sum(m.num_rows for _, m in footers), "bytes": size,
         }
         return pa.RecordBatch.from_pylist([row], _META)
 
-    return files(spark, paths).mapInArrow(_decode(step), META)
+    return _scanned(spark, paths, step, META)
 
 
 _META = pa.schema(
@@ -83,15 +106,14 @@ _STATS = pa.schema([("path", pa.string()), ("segment_id", pa.int64()), ("field_i
 
 
 def read_stats(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Rows, nulls, least and largest value of each file's columns from the Parquet footers, without decoding values.
+    """Rows, nulls, least and largest value of each file's columns from the Parquet footers; no values are read.
 
     A value is null where a footer has no statistics.
     """
 
-    def step(path: str, content: bytes) -> pa.RecordBatch:
-        d, rows = codec.read_descriptor(content), []
-        for event in codec.read_events(content):
-            meta = codec.payload_file(event.payload).metadata
+    def step(path: str, size: int, d: codec.Descriptor, footers) -> pa.RecordBatch:
+        rows = []
+        for _, meta in footers:
             for g in range(meta.num_row_groups):
                 for c in range(meta.num_columns):
                     column = meta.row_group(g).column(c)
@@ -100,7 +122,7 @@ def read_stats(spark: SparkSession, paths: str | list[str]) -> DataFrame:
                     rows.append({"path": path, "segment_id": d.segment_id, "field_id": d.field_id, "column": column.path_in_schema, "rows": meta.row_group(g).num_rows, "nulls": s.null_count if s is not None and s.has_null_count else None, "min": low, "max": high})
         return pa.RecordBatch.from_pylist(rows, _STATS)
 
-    return files(spark, paths).mapInArrow(_decode(step), STATS)
+    return _scanned(spark, paths, step, STATS)
 
 
 def read_deletes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -130,13 +152,14 @@ def read_segments(
     """The rows of segments below ``paths``: partition_id, segment_id, _ordinal, _ts and the fields.
 
     Paths end in ``.../{partition}/{segment}/{field}/{file}``; a field's files follow each other by name. Only the
-    folders of the wanted ``fields`` are kept, before any byte is decoded. ValueError where two fields of a segment have
+    folders of the wanted ``fields`` are opened. ValueError where two fields of a segment have
     different lengths. A field without a folder is null, unless it may not be.
     """
     wanted = [schema.by_name(n) for n in (fields or [f.name for f in schema.fields])]
     ids = [f.field_id for f in wanted] + ([TS_FIELD] if with_system else [])
     part = lambda i: F.regexp_extract("path", rf"(\d+)/(\d+)/(?:\2/)?(\d+)/([^/]+)$", i)
-    rows = files(spark, paths)
+    by_path = all(storage.worker_can_open(x) for x in ([paths] if isinstance(paths, str) else paths))
+    rows = listed(spark, paths).withColumn("content", F.col("path")) if by_path else files(spark, paths)
     rows = rows.select(part(1).try_cast("long").alias("partition_id"), part(2).try_cast("long").alias("segment_id"), part(3).try_cast("long").alias("field_id"), part(4).alias("file"), "content")
     rows = rows.where(F.col("field_id").isin(ids))
     system = [T.StructField("_ts", T.LongType())] if with_system else []
@@ -152,10 +175,18 @@ def read_segments(
         content: dict[int, list] = {}
         for field_id, file, data in sorted(zip(table.column("field_id").to_pylist(), table.column("file").to_pylist(), table.column("content").to_pylist(), strict=True), key=lambda x: (x[0], _by_name(x[1]))):
             content.setdefault(field_id, []).append(data)
+
+        def opened(data) -> bytes:
+            if not by_path:
+                return data
+            system, inner = storage.worker_fs(data)
+            with system.open_input_file(inner) as f:
+                return f.read()
+
         arrays = {}
         for f in columns:
             if f.field_id in content:
-                parts = [codec.from_storage(codec.column_of(e), f) for data in content[f.field_id] for e in codec.read_events(data) if e.kind == codec.INSERT]
+                parts = [codec.from_storage(codec.column_of(e), f) for data in content[f.field_id] for e in codec.read_events(opened(data)) if e.kind == codec.INSERT]
                 arrays[f.name] = pa.concat_arrays(parts) if parts else pa.array([], codec.arrow_type(f))
         sizes = {k: len(v) for k, v in arrays.items()}
         if len(set(sizes.values())) > 1:

@@ -59,9 +59,44 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+WORKER_SCHEMES = ("file", "s3", "s3a", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss")
+
+
+def worker_can_open(path: str) -> bool:
+    """Whether pyarrow's file systems, which is what a Python worker has, know the path's scheme."""
+    return scheme_of(path) in WORKER_SCHEMES
+
+
+def worker_fs(path: str):
+    """(pyarrow file system, path in it), for use in tasks. ValueError for a scheme that only Spark can open."""
+    from pyarrow import fs
+
+    if not worker_can_open(path):
+        raise ValueError(f"a Python worker can't open {scheme_of(path)} paths: {path}")
+    if scheme_of(path) == "file":
+        return fs.LocalFileSystem(), "/" + urlparse(path).path.lstrip("/") if path.startswith("file:") else path
+    return fs.FileSystem.from_uri(re.sub(r"^s3a:", "s3:", re.sub(r"^gcs:", "gs:", path)))
+
+
+def put(path: str, content: bytes) -> None:
+    """Write a file under a hidden name and move it to its own, on the path's own file system: a lost or repeated task
+    leaves no half file."""
+    system, inner = worker_fs(path)
+    folder, _, name = inner.rpartition("/")
+    system.create_dir(folder, recursive=True)
+    hidden = f"{folder}/_staging_{uuid.uuid4().hex}_{name}"
+    with system.open_output_stream(hidden) as out:
+        out.write(content)
+    system.move(hidden, inner)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the cluster's shared folder; without ``spark.checkpoint.dir``, as in tests, in a local one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(scratch, "local", None)
+    """A fresh path in the cluster's shared folder. Without ``spark.checkpoint.dir`` a local session takes a temporary
+    folder of its machine; any other one raises, as executors share no disk."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    root = root or getattr(scratch, "local", None)
     if not root:
         root = scratch.local = tempfile.mkdtemp(prefix="lakevec-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
