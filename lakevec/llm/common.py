@@ -32,10 +32,13 @@ def spread(scan: DataFrame) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where that setting is missing, as in local tests, a temporary folder of this machine is made and removed at
-    exit.
+    Only where that setting is missing in a local session, as in tests, a temporary folder of this machine is made and
+    removed at exit; ValueError on a cluster, whose executors share no disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(scratch, "local", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    root = root or getattr(scratch, "local", None)
     if not root:
         root = scratch.local = tempfile.mkdtemp(prefix="lakevec-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
