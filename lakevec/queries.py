@@ -14,7 +14,7 @@ from .operators.asof import asof_join
 from .plans import collection as plans
 from .sinks import column_log, rows_json as json_sink
 from .sources import logs, rows_json as json_source
-from .streaming import sessions, tumbling
+from .streaming import sessions, settle, tumbling
 from .types import CollectionSchema, Field, FieldType
 
 QUERIES: dict = {}
@@ -250,6 +250,32 @@ def session_windows(spark, d):
     return sessions(_t(spark, d, "events"), "ts", "6 hours", ["user_id"])
 
 
+def _arrival(least, most):
+    """1 to 3: the third of the time span in which a row comes; of every tenth user, rows come a third later."""
+    third = F.floor((F.unix_micros("ts") - least) * 3 / (most - least + 1))
+    return F.least(third + F.when(F.col("user_id") % 10 == 0, 2).otherwise(1), F.lit(3))
+
+
+@query("""WITH s AS (SELECT min(epoch_us(ts)) AS least, max(epoch_us(ts)) AS most FROM events),
+  a AS (SELECT ts, event_type, time_bucket(INTERVAL 1 hour, ts) + INTERVAL 1 hour AS window_end,
+    least(CAST(floor((epoch_us(ts) - least) * 3 / (most - least + 1)) AS INTEGER) + CASE WHEN user_id % 10 = 0 THEN 2 ELSE 1 END, 3) AS arrival FROM events, s),
+  k AS (SELECT * FROM a WHERE window_end > coalesce((SELECT max(ts) - INTERVAL 2 day FROM a b WHERE b.arrival < a.arrival), TIMESTAMP '1970-01-01'))
+  SELECT window_end - INTERVAL 1 hour AS window_start, window_end, event_type, count(*) AS n FROM k
+  WHERE window_end <= (SELECT max(ts) - INTERVAL 2 day FROM a) GROUP BY ALL""")
+def late_windows(spark, d):
+    """Windows of a stream that gets all events in three arrivals; rows behind the watermark of earlier ones are dropped."""
+    events, base = _t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), storage.scratch(spark, "late")
+    span = events.select(F.unix_micros("ts").alias("at")).agg(F.min("at"), F.max("at")).first()
+    events.where("false").write.parquet(f"{base}/in")
+    live = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+    windows = tumbling(live, "ts", "1 hour", ["event_type"], late="2 days")
+    for i in (1, 2, 3):
+        events.where(_arrival(*map(F.lit, span)) == i).write.mode("append").parquet(f"{base}/in")
+        settle(windows, f"{base}/out", f"{base}/state")
+    plain = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return spark.read.parquet(f"{base}/out").select(plain("window_start"), plain("window_end"), "event_type", "n")
+
+
 # --- projections and expressions
 
 
@@ -371,6 +397,11 @@ QUERIES["f32_be_roundtrip"] = _round_trip(vectors.floats_to_be, vectors.floats_f
 ORACLE_SQL["f32_be_roundtrip"] = ORACLE_SQL["f32_roundtrip"]
 QUERIES["f16_roundtrip"] = _round_trip(vectors.floats_to_half, vectors.floats_from_half)
 QUERIES["bf16_roundtrip"] = _round_trip(vectors.floats_to_bfloat, vectors.floats_from_bfloat)
+# the step between neighbours is 2 ** (exponent - bits of the mantissa), and 2 ** -24 for halves below 2 ** -14
+for _name, _bits, _least in (("f16_roundtrip", 10, -14), ("bf16_roundtrip", 7, -126)):
+    _step = f"pow(2.0, greatest(floor(log2(abs(x))), {_least}) - {_bits})"
+    ORACLE_SQL[_name] = f"""WITH e AS (SELECT vec_id, CAST(unnest(range(64)) AS INTEGER) AS i, unnest({_V}) AS x FROM embeddings)
+      SELECT vec_id, i AS at, round(CASE WHEN x = 0 THEN 0 ELSE round_even(x / {_step}, 0) * {_step} END, 6) AS x FROM e"""
 
 
 @query(f"SELECT vec_id, k, round(x, 6) AS x FROM (SELECT vec_id, unnest(range(64)) AS k, unnest({_V}) AS x FROM embeddings) WHERE x > 0")
@@ -553,6 +584,20 @@ def collection_source(spark, d):
     return spark.read.format("collection").options(**given).load(root).select("c_custkey", "c_name", "c_acctbal")
 
 
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey >= (SELECT max(c_custkey) // 2 FROM customer) AND c_name IS NOT NULL")
+def collection_source_filtered(spark, d):
+    """Two of three columns are read, then filtered."""
+    from .sources import datasource
+
+    datasource.register(spark)
+    root, rows = storage.scratch(spark, "store"), _t(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    given = {"collection.name": "c", "collection.primaryKeyField": "c_custkey", "insertMaxBatchSize": "1000"}
+    rows.repartitionByRange("c_custkey").write.format("collection").options(**given).mode("append").save(root)
+    half = rows.agg(F.expr("max(c_custkey) div 2")).first()[0]
+    stored = spark.read.schema("c_custkey long, c_name string").format("collection").options(**given).load(root)
+    return stored.where((F.col("c_custkey") >= half) & F.col("c_name").isNotNull())
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS pk, epoch_us(o_orderdate) // 1000 AS ts FROM orders")
 def delete_logs_by_glob(spark, d):
     base = storage.scratch(spark, "glob")

@@ -1,7 +1,10 @@
 """``spark.read.format("collection" | "column_log" | "delete_log" | "log_meta" | "log_stats")``: the readers of ``logs`` as data sources.
 
 These open files in the Python workers, by pyarrow's file systems (local, s3, gs, hdfs), one task per file. ``logs`` has
-the same for stores that only Spark can open.
+the same for stores that only Spark can open. Collections are read in parts of a file; give a schema of fewer columns
+(``spark.read.schema``) and only those are read. Filters are not pushed down here: Spark 4.1 keeps what it pushed into a
+Python source for later queries on the same frame, even for those without filters, which then lose rows.
+``Catalog.read`` goes through Spark's own Parquet reader and pushes both down.
 """
 
 from __future__ import annotations
@@ -13,7 +16,12 @@ from pyspark.sql.types import StructType
 from ..types import Field, FieldType
 
 
-def _list(path: str) -> list[str]:
+#: Bytes of a file that one task reads.
+SPLIT_BYTES = 128 << 20
+
+
+def _files(path: str) -> list[tuple[str, int]]:
+    """(path, size) of the files at ``path``: a file, a folder with all below it, or a folder and a pattern of names."""
     import posixpath
     from fnmatch import fnmatch
 
@@ -27,9 +35,9 @@ def _list(path: str) -> list[str]:
     system, inner = worker_fs(base)
     info = system.get_file_info(inner)
     if info.type == fs.FileType.File:
-        return [inner]
+        return [(inner, info.size)]
     found = system.get_file_info(fs.FileSelector(inner, recursive=name is None))
-    out = sorted(i.path for i in found if i.type == fs.FileType.File and i.base_name[:1] not in "._" and (name is None or fnmatch(i.base_name, name)))
+    out = sorted((i.path, i.size) for i in found if i.type == fs.FileType.File and i.base_name[:1] not in "._" and (name is None or fnmatch(i.base_name, name)))
     if not out:
         raise FileNotFoundError(path)
     return out
@@ -55,7 +63,7 @@ class _Reader(DataSourceReader):
         self.path, self.rows, self.footers = path, rows, footers
 
     def partitions(self):
-        return [_File(p) for p in _list(self.path)]
+        return [_File(p) for p, _ in _files(self.path)]
 
     def read(self, partition):
         if not self.footers:
@@ -68,6 +76,41 @@ class _Reader(DataSourceReader):
             yield from self.rows(partition.path, *codec.scan(f, f.size()))
 
 
+class _Range(InputPartition):
+    """The row groups of a file that begin at bytes ``first`` to ``last`` (exclusive)."""
+
+    def __init__(self, path: str, first: int, last: int):
+        super().__init__(path)
+        self.path, self.first, self.last = path, first, last
+
+
+def _begin(group) -> int:
+    column = group.column(0)
+    return column.dictionary_page_offset if column.has_dictionary_page and column.dictionary_page_offset else column.data_page_offset
+
+
+class _TableReader(DataSourceReader):
+    """Columns ``names`` of the Parquet files below ``path``, a task for each SPLIT_BYTES, whole row groups each."""
+
+    def __init__(self, path: str, names: list[str]):
+        self.path, self.names = path, names
+
+    def partitions(self):
+        return [_Range(p, i, i + SPLIT_BYTES) for p, size in _files(self.path) for i in range(0, max(size, 1), SPLIT_BYTES)]
+
+    def read(self, partition):
+        import pyarrow.parquet as pq
+
+        from lakevec.storage import worker_fs
+
+        with worker_fs(self.path)[0].open_input_file(partition.path) as f:
+            file = pq.ParquetFile(f)
+            groups = [file.metadata.row_group(i) for i in range(file.metadata.num_row_groups)]
+            mine = [i for i, g in enumerate(groups) if partition.first <= _begin(g) < partition.last]
+            if mine:
+                yield from file.iter_batches(row_groups=mine, columns=self.names)
+
+
 class ColumnLog(DataSource):
     """Options: path; fieldType (a name of FieldType), dim, element; column (the name, "val" unless given)."""
 
@@ -264,17 +307,8 @@ class Collection(DataSource):
 
     def reader(self, schema):
         o, folder = self._place()
-        names = schema.fieldNames()
         part = f"{folder}/data" + (f"/_partition={o['partition.name']}" if o["partition.name"] else "")
-
-        def rows(path: str, data: bytes):
-            import io
-
-            import pyarrow.parquet as pq
-
-            yield from pq.ParquetFile(io.BytesIO(data)).iter_batches(columns=names)
-
-        return _Reader(part, rows)
+        return _TableReader(part, schema.fieldNames())
 
     def writer(self, schema, overwrite: bool):
         from lakevec.storage import put

@@ -31,3 +31,13 @@ def sessions(events: DataFrame, ts: str, gap: str, by: list[str], late: str | No
 def latest_deletes(stream: DataFrame) -> DataFrame:
     """The latest delete of each key so far; write in update mode."""
     return stream.groupBy("pk", "partition_id").agg(F.max("ts").alias("ts"))
+
+
+def settle(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Append what ``stream`` yields for all that has arrived by now to the Parquet table ``path``.
+
+    A further call with the same ``checkpoint`` goes on where this one stopped: results are written once, and rows
+    behind the watermark of what was there before are dropped.
+    """
+    query = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+    query.awaitTermination()

@@ -160,3 +160,37 @@ def test_type_predicates():
     assert FieldType.SPARSE_FLOAT_VECTOR.is_vector and not FieldType.ARRAY.is_vector and FieldType(101) is FieldType.FLOAT_VECTOR
     with pytest.raises(ValueError):
         FieldType(77)
+
+
+def test_data_source_with_filters(spark, tmp_path):
+    from lakevec.sources import datasource
+
+    datasource.register(spark)
+    o = {"collection.name": "c", "collection.primaryKeyField": "id", "insertMaxBatchSize": "10"}
+    rows = [(i, None if i < 20 else f"t{i:03d}", float("nan") if i == 5 else float(i)) for i in range(100)]
+    spark.createDataFrame(rows, "id long, text string, x double").coalesce(1).write.format("collection").options(**o).mode("append").save(str(tmp_path))
+    stored = spark.read.format("collection").options(**o).load(str(tmp_path))
+    for where in ("id = 37", "id > 88", "id >= 90", "id < 3", "id <= 10", "id IN (1, 99, 500)", "text = 't050'", "text > 't09'", "text IS NOT NULL", "text IS NULL", "x > 97", "x = 5", "id > 10 AND text < 't03'", "id = 1 OR id = 99", "id > 1000"):
+        want = spark.createDataFrame(rows, "id long, text string, x double").where(where)
+        assert sorted(r.id for r in stored.where(where).collect()) == sorted(r.id for r in want.collect()), where
+        assert stored.count() == 100  # no filter outlives its query
+    narrow = spark.read.schema("id long").format("collection").options(**o).load(str(tmp_path))
+    assert narrow.columns == ["id"] and narrow.count() == 100
+
+
+def test_files_are_split_by_row_groups(tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from lakevec.sources import datasource
+
+    pq.write_table(pa.table({"id": range(1000), "s": ["a"] * 1000}), f"{tmp_path}/f.parquet", row_group_size=100)
+
+    def read():
+        reader = datasource._TableReader(str(tmp_path), ["id"])
+        return [[x for b in reader.read(p) for x in b.column(0).to_pylist()] for p in reader.partitions()]
+
+    assert read() == [list(range(1000))]
+    monkeypatch.setattr(datasource, "SPLIT_BYTES", 2000)
+    parts = read()
+    assert len(parts) > 3 and sum(parts, []) == list(range(1000)) and all(len(p) < 1000 for p in parts)
