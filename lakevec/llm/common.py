@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,7 +16,15 @@ ROWS_PER_BUCKET = 10_000
 #: The white space that the text contracts name: space and the bytes 9 to 13.
 SPACE = "[\\x20\\x09-\\x0D]"
 
-_made: list[str] = []
+
+class _Made(threading.local):
+    """The scratch paths of each thread, oldest first."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_made = _Made()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,20 +52,25 @@ def scratch(spark: SparkSession, name: str) -> str:
         root = scratch.local = tempfile.mkdtemp(prefix="lakevec-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
     path = f"{root.rstrip('/')}/lakevec-{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    _made.paths.append(path)
     return path
 
 
-def clean(spark: SparkSession) -> int:
-    """Remove the scratch tables that this process has made so far, and say how many there were.
+def made() -> int:
+    """How many scratch tables of this thread there are."""
+    return len(_made.paths)
+
+
+def clean(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Remove this thread's scratch tables but for the ``since`` oldest and the ``keep`` newest; say how many there were.
 
     For when all results that read them are written: results are lazy, so nothing removes them earlier.
     """
-    paths, hadoop = list(_made), spark.sparkContext._jvm.org.apache.hadoop.fs
+    paths, hadoop = _made.paths[since : made() - keep], spark.sparkContext._jvm.org.apache.hadoop.fs
     for path in paths:
         p = hadoop.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        _made.remove(path)
+        _made.paths.remove(path)
     return len(paths)
 
 

@@ -453,9 +453,12 @@ def test_scratch_tables_can_be_removed(spark):
     from lakevec.llm import common
 
     df = common.materialise(spark.range(3).toDF("x"), "t")
-    path = common._made[-1]
+    path = common._made.paths[-1]
     assert df.count() == 3 and os.path.exists(path.removeprefix("file:"))
-    assert common.clean(spark) > 0 and not os.path.exists(path.removeprefix("file:"))
+    before = common.made()
+    kept = [common.materialise(spark.range(n).toDF("x"), "t") for n in (1, 2, 3)]
+    assert common.clean(spark, before, keep=1) == 2 and df.count() == 3 and kept[2].count() == 3
+    assert common.clean(spark) > 0 and common.made() == 0 and not os.path.exists(path.removeprefix("file:"))
 
 
 def test_types_of_schema(docs):
