@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,6 +11,15 @@ import pyarrow.compute as pc
 
 #: Bytes of text handed to an operator at once; a longer text comes alone.
 SLICE_BYTES = 1 << 20
+#: The C library's way to give free memory back, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+
+
+def give_back() -> None:
+    """Free memory goes back to the system; a worker that Spark keeps idle would hold what its largest slice took."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -24,19 +35,29 @@ def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.Reco
         yield batch.slice(start)
 
 
+def _begin(make: Callable) -> Callable:
+    """A task's function for a slice. Of the module, as what this worker keeps is the module's and not the closure's."""
+    _wanted.clear()
+    step = make()
+    for key in [k for k in _memo if k not in _wanted]:
+        del _memo[key]  # of an operator that ran before in this worker
+    return step
+
+
 def map_texts(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], column: str = "text"):
     """A function for ``mapInArrow``: ``make()`` runs once per task and gives the function for a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _wanted.clear()
-        step = make()
-        for key in [k for k in _memo if k not in _wanted]:
-            del _memo[key]  # of an operator that ran before in this worker
-        for batch in batches:
-            for part in text_slices(batch, column):
-                out = step(part)
-                if out is not None and out.num_rows:
-                    yield out
+        step = _begin(make)
+        try:
+            for batch in batches:
+                for part in text_slices(batch, column):
+                    out = step(part)
+                    if out is not None and out.num_rows:
+                        yield out
+        finally:
+            step = batch = part = out = None
+            give_back()
 
     return run
 
