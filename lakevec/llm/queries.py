@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, hnsw, html, jaccard, linededup, packing, pieces, secrets, sharding, toxicity
+from . import decontaminate, exact_dedup, hnsw, html, jaccard, linededup, packing, pieces, secrets, sharding, toxicity, turns, vectorcodes
 from .common import spread, table
 
 
@@ -50,6 +50,19 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_tokens(spread(table(spark, sf_dir, "documents")))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.compress_table(table(spark, sf_dir, "embeddings"))
+
+
+def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair_table(table(spark, sf_dir, "conversations"))
+
+
+def op13_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spread(table(spark, sf_dir, "documents"))
+    return decontaminate.digest(decontaminate.find_benchmark(docs, table(spark, sf_dir, "benchmark")))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_nearest": op2_nearest,
@@ -61,9 +74,15 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_secrets": op9_secrets,
     "op10_pieces": op10_pieces,
+    "op11_codes": op11_codes,
+    "op12_turns": op12_turns,
+    "op13_benchmark": op13_benchmark,
 }
 
 ORACLE_SQL = {
     "op7_line_dedup": linededup.ORACLE_SQL,
     "op8_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_codes": vectorcodes.ORACLE_SQL,
+    "op12_turns": turns.ORACLE_SQL,
+    "op13_benchmark": decontaminate.ORACLE_SQL,
 }
