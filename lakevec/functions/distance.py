@@ -34,14 +34,21 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def hamming(a: Column, b: Column) -> Column:
-    """Differing bits of two texts of 0 and 1, or of two binary values (by the bits of their bytes)."""
+    """Differing places of two texts of 0 and 1 (``hamming_bytes`` has binary values)."""
     bits = lambda v: F.split(v, "")
     return F.size(F.filter(F.arrays_zip(bits(a).alias("x"), bits(b).alias("y")), lambda p: p["x"] != p["y"]))
 
 
+#: Hexadecimal digits that are counted at once, as a number of 60 bits.
+_DIGITS = 15
+
+
 def hamming_bytes(a: Column, b: Column) -> Column:
-    nibbles = lambda v: F.transform(F.split(F.hex(v), ""), lambda h: F.conv(h, 16, 10).cast("int"))
-    return F.aggregate(F.zip_with(nibbles(a), nibbles(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    """Differing bits of two binary values of one length; null for values of two lengths."""
+    count = lambda v: F.ceil(F.octet_length(v) * 2 / _DIGITS).cast("int")
+    words = lambda v: F.when(F.octet_length(v) > 0, F.transform(F.sequence(F.lit(0), count(v) - 1), lambda i: F.conv(F.substring(F.hex(v), i * _DIGITS + 1, F.lit(_DIGITS)), 16, 10).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    differing = F.aggregate(F.zip_with(words(a), words(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return F.when(F.octet_length(a) == F.octet_length(b), differing)
 
 
 def sparse_inner_product(a: Column, b: Column) -> Column:

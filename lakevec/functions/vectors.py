@@ -153,3 +153,10 @@ def packed_bits(text: Column, dim: int) -> Column:
 def sign_bits(vector: Column) -> Column:
     """One bit per component, set where it is positive, the first one highest, as text of 0 and 1."""
     return F.array_join(F.transform(vector, lambda x: F.when(x > 0, "1").otherwise("0")), "")
+
+
+def sign_bytes(vector: Column) -> Column:
+    """The same bits, eight a byte; the last byte is filled up with zeros."""
+    bits = F.rpad(sign_bits(vector), (F.ceil(F.size(vector) / 8) * 8).cast("int"), F.lit("0"))
+    byte = lambda i: F.lpad(F.conv(F.substring(bits, i * 8 + 1, F.lit(8)), 2, 16), 2, "0")
+    return F.when(F.size(vector) > 0, F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.ceil(F.size(vector) / 8).cast("int") - 1), byte), ""))).when(F.size(vector) == 0, F.lit(b""))

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], ts: str, values: list[str]) -> DataFrame:
     """``left`` with ``values`` of ``right`` (null where there is none). Both sides are sorted together by key and time
-    and the last value is carried forward: one shuffle, no pairs. At equal times the right row comes first."""
+    and the last value is carried forward: one shuffle, no pairs. At equal times the right row comes first; of right rows
+    of one time the one with the largest values counts. Null keys and null times match nothing, on either side."""
     mine = left.withColumns({"_side": F.lit(1), **{f"_v_{v}": F.lit(None).cast(right.schema[v].dataType) for v in values}})
-    picked = right.select(*by, F.col(ts), F.lit(0).alias("_side"), *[F.col(v).alias(f"_v_{v}") for v in values])
+    usable = reduce(and_, [F.col(c).isNotNull() for c in (*by, ts)])
+    picked = right.where(usable).select(*by, F.col(ts), F.lit(0).alias("_side"), *[F.col(v).alias(f"_v_{v}") for v in values])
     both = mine.unionByName(picked, allowMissingColumns=True)
-    order = Window.partitionBy(*by).orderBy(ts, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy(*by).orderBy(ts, "_side", F.struct(*[f"_v_{v}" for v in values])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.last(F.when(F.col("_side") == 0, F.struct(*[f"_v_{v}" for v in values])), ignorenulls=True).over(order)
     return both.withColumn("_last", last).where("_side = 1").select(*left.columns, *[F.col(f"_last._v_{v}").alias(f"{v}" if v not in left.columns else f"{v}_right") for v in values])

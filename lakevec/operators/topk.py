@@ -17,11 +17,24 @@ BROADCAST_BYTES = 32 << 20
 SCORES = 2 << 20
 
 
-def top_k(rows: DataFrame, query: list[float], k: int, metric: str = "L2", id_col: str = "id", vector_col: str = "vector", where: Column | None = None, output: list[str] | None = None) -> DataFrame:
-    """The ``k`` nearest rows, nearest first, ties to the smaller id: each task keeps ``k`` rows, no shuffle of vectors."""
+def finite(vector: Column) -> Column:
+    """Whether a vector is there and has only finite components; others take no part in a search."""
+    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+
+def top_k(rows: DataFrame, query: list[float] | bytes, k: int, metric: str = "L2", id_col: str = "id", vector_col: str = "vector", where: Column | None = None, output: list[str] | None = None) -> DataFrame:
+    """The ``k`` nearest rows, nearest first, ties to the smaller id: each task keeps ``k`` rows, no shuffle of vectors.
+
+    HAMMING takes bytes on both sides, the other metrics lists of numbers. Vectors with a null or non-finite component, or
+    of another length than the query, take no part."""
     if where is not None:
         rows = rows.where(where)
-    rows = rows.withColumn("score", distance.score(metric, F.col(vector_col), F.array(*[F.lit(float(x)) for x in query])))
+    vector = F.col(vector_col)
+    if metric.upper() == "HAMMING":
+        asked, usable = F.lit(bytes(query)), F.octet_length(vector) == len(query)
+    else:
+        asked, usable = F.array(*[F.lit(float(x)) for x in query]), (F.size(vector) == len(query)) & finite(vector)
+    rows = rows.where(usable).withColumn("score", distance.score(metric, vector, asked))
     order = F.desc("score") if distance.nearer_is_larger(metric) else F.asc("score")
     return rows.where("score IS NOT NULL").orderBy(order, id_col).limit(k).select(id_col, "score", *(output or []))
 
@@ -57,19 +70,22 @@ def batch_top_k(rows: DataFrame, queries: DataFrame, k: int, metric: str = "L2",
     """query_id, rank, id, score of the ``k`` nearest rows of every query.
 
     Queries are broadcast as a matrix, in blocks of BROADCAST_BYTES; a task keeps ``k`` rows for each query over all its
-    batches, so what is shuffled doesn't grow with the rows. However many rows tie, the smaller ids come first. Null vectors, and zero ones for COSINE, take no part.
+    batches, so what is shuffled doesn't grow with the rows. However many rows tie, the smaller ids come first. Vectors that are null or have null or non-finite components, and zero
+    ones for COSINE, take no part, nor do rows of another length than the queries. ValueError if queries differ in length.
     """
     metric = metric.upper()
     if metric not in ("L2", "IP", "COSINE"):
         raise ValueError(f"no batched search by {metric}")
     larger = distance.nearer_is_larger(metric)
-    asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where("v IS NOT NULL")
+    asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(finite(F.col("v")))
     if metric == "COSINE":
         asked = asked.where(F.exists("v", lambda x: x != 0))
-    n, dim = asked.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    n, dim, least = asked.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0)), F.coalesce(F.min(F.size("v")), F.lit(0))).first()
+    if least != dim:
+        raise ValueError(f"queries have {least} to {dim} components; ask those of one length at once")
     per_block = max(1, BROADCAST_BYTES // (8 * max(1, dim)))
     blocks = -(-n // per_block)
-    data = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where(F.col("v").isNotNull() & (F.size("v") == dim))
+    data = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")).where((F.size("v") == dim) & finite(F.col("v")))
     found = None
     for b in range(max(1, blocks)):
         mine = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b) if blocks > 1 else asked

@@ -12,29 +12,12 @@ from .functions import distance, hashing, jsonfn, vectors
 from .operators import deletes, keys, stats, topk, zipjoin
 from .operators.asof import asof_join
 from .plans import collection as plans
+from .registry import ORACLE_SQL, QUERIES, query, table as _t
 from .sinks import column_log, rows_json as json_sink
 from .sources import logs, rows_json as json_source
 from .streaming import sessions, settle, tumbling
 from .types import CollectionSchema, Field, FieldType
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
 _LINE = ["l_orderkey", "l_linenumber", "l_returnflag"]
 _LINE_SQL = "l_orderkey, l_linenumber, l_returnflag"
 
@@ -118,6 +101,16 @@ def asof_event(spark, d):
     return asof_join(e.where("event_type = 'click'").select("event_id", "user_id", "ts", "value"), right, ["user_id"], "ts", ["value"]).select("event_id", "user_id", "value_right")
 
 
+@query("""WITH e AS (SELECT event_id, event_type, value, CASE WHEN event_id % 5 = 0 THEN NULL ELSE user_id END AS user_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE ts END AS ts FROM events)
+  SELECT l.event_id, p.value AS value_right FROM (SELECT * FROM e WHERE event_type = 'click') l
+  ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS value FROM e WHERE event_type = 'purchase' AND user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL) p ON l.user_id = p.user_id AND l.ts >= p.ts""")
+def asof_nulls(spark, d):
+    """Null keys and times match nothing; of right rows of one time the largest value counts."""
+    e = _t(spark, d, "events").withColumns({"user_id": F.when(F.col("event_id") % 5 != 0, F.col("user_id")), "ts": F.when(F.col("event_id") % 7 != 0, F.col("ts"))})
+    sides = [e.where(F.col("event_type") == x) for x in ("click", "purchase")]
+    return asof_join(sides[0].select("event_id", "user_id", "ts", "value"), sides[1], ["user_id"], "ts", ["value"]).select("event_id", "value_right")
+
+
 _A, _B = "o_orderpriority = '1-URGENT'", "o_orderpriority = '5-LOW'"
 
 
@@ -372,6 +365,23 @@ def hamming_topk(spark, d):
     return bits.withColumn("score", distance.hamming(F.col("s"), F.lit(q))).orderBy("score", "vec_id").limit(10).select("vec_id", "score")
 
 
+@query(ORACLE_SQL["hamming_topk"])
+def hamming_bytes_topk(spark, d):
+    """The same over packed bits."""
+    bits = _vectors(spark, d).select("vec_id", vectors.sign_bytes(F.col("embedding")).alias("s"))
+    asked = _asked(spark, d)
+    q = int("".join("1" if x > 0 else "0" for x in asked), 2).to_bytes(len(asked) // 8, "big")
+    return topk.top_k(bits, q, 10, "HAMMING", "vec_id", "s")
+
+
+@query(f"""SELECT vec_id, round(list_inner_product({_V}, {_Q}), 6) AS score FROM embeddings WHERE vec_id % 10 NOT IN (3, 4, 5) ORDER BY list_inner_product({_V}, {_Q}) DESC, vec_id LIMIT 10""")
+def knn_with_nan(spark, d):
+    """Rows with a component that is not a number, infinite or null take no part."""
+    odd = F.when(F.col("vec_id") % 10 == 3, float("nan")).when(F.col("vec_id") % 10 == 4, float("inf")).when(F.col("vec_id") % 10 != 5, F.col("embedding")[0])
+    rows = _vectors(spark, d).select("vec_id", F.concat(F.array(odd.cast("float")), F.slice("embedding", 2, 63)).alias("embedding"))
+    return topk.top_k(rows, _asked(spark, d), 10, "IP", "vec_id", "embedding").withColumn("score", F.round("score", 6))
+
+
 @query(f"SELECT vec_id, round(sqrt(list_inner_product({_V}, {_V})), 6) AS norm, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings")
 def vector_norm(spark, d):
     return _vectors(spark, d).select("vec_id", F.round(distance.norm(F.col("embedding")), 6).alias("norm"), F.size("embedding").alias("dim"))

@@ -141,7 +141,7 @@ class ColumnLog(DataSource):
         return _Reader(self.options["path"], rows)
 
     def writer(self, schema, overwrite: bool):
-        return _ColumnLogWriter(self.options, self._field())
+        return _ColumnLogWriter(self.options, self._field(), overwrite)
 
 
 class _Written(WriterCommitMessage):
@@ -164,6 +164,17 @@ class _Staged:
 
         return worker_fs(self.folder)
 
+    def visible(self) -> list[str]:
+        """The files that readers see now."""
+        from pyarrow import fs
+
+        system, folder = self.place()
+        return [x.path for x in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if x.is_file and x.base_name[:1] not in "._"]
+
+    def remove(self, paths: list[str]) -> None:
+        for x in paths:
+            self.place()[0].delete_file(x)
+
     def publish(self, message, name: str) -> None:
         system, inner = self.place()
         system.move(message.path, f"{inner}/{name}")
@@ -178,10 +189,11 @@ class _Staged:
 
 
 class _ColumnLogWriter(DataSourceWriter):
-    """One file per task, staged under a hidden name; commit gives the files their names, abort removes them."""
+    """One file per task, staged under a hidden name; commit gives the files their names, abort removes them. An overwrite
+    removes what was there once the new files have their names."""
 
-    def __init__(self, options, field: Field):
-        self.options, self.field, self.staged = dict(options), field, _Staged(options["path"])
+    def __init__(self, options, field: Field, overwrite: bool = False):
+        self.options, self.field, self.staged, self.overwrite = dict(options), field, _Staged(options["path"]), overwrite
 
     def write(self, rows):
         import uuid
@@ -205,8 +217,10 @@ class _ColumnLogWriter(DataSourceWriter):
         return _Written(path, len(values))
 
     def commit(self, messages):
+        old = self.staged.visible() if self.overwrite else []
         for i, m in enumerate(m for m in messages if m and m.path):
             self.staged.publish(m, f"{i:06d}_{m.path.rpartition('/')[2][9:17]}")
+        self.staged.remove(old)
 
     def abort(self, messages):
         self.staged.drop(messages)
@@ -364,15 +378,11 @@ class _CollectionWriter(DataSourceArrowWriter):
         return _Written(path if out else None, n)
 
     def commit(self, messages):
-        from pyarrow import fs
-
-        system, folder = self.staged.place()
-        old = [x.path for x in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if x.base_name.startswith("part-")] if self.overwrite else []
+        old = [x for x in self.staged.visible() if x.rpartition("/")[2].startswith("part-")] if self.overwrite else []
         for m in messages:
             if m and m.path:
                 self.staged.publish(m, m.path.rpartition("/")[2].replace("_staging_", "part-"))
-        for x in old:
-            system.delete_file(x)
+        self.staged.remove(old)
 
     def abort(self, messages):
         self.staged.drop(messages)

@@ -7,19 +7,28 @@ import re
 import shutil
 import tempfile
 import uuid
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SCHEME = re.compile(r"([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(.*)", re.DOTALL)
+
+
+def parts_of(path: str) -> tuple[str, str, str]:
+    """(scheme, bucket or host, path in it). Nothing of the path is taken for a query or a fragment or decoded, as Hadoop
+    has it too: ``#``, ``?``, ``%`` and spaces are characters of names."""
+    found = _SCHEME.fullmatch(path)
+    return (found[1], found[2] or "", found[3]) if found else ("file", "", path)
+
+
 def scheme_of(path: str) -> str:
     """The scheme of a path, "file" if it has none."""
-    return urlparse(path).scheme or "file"
+    return parts_of(path)[0]
 
 
 def without_bucket(uri: str) -> str:
     """The path inside the bucket."""
-    return urlparse(uri).path.lstrip("/")
+    return parts_of(uri)[2].lstrip("/")
 
 
 def for_import(uri: str) -> str:
@@ -73,9 +82,11 @@ def worker_fs(path: str):
 
     if not worker_can_open(path):
         raise ValueError(f"a Python worker can't open {scheme_of(path)} paths: {path}")
-    if scheme_of(path) == "file":
-        return fs.LocalFileSystem(), "/" + urlparse(path).path.lstrip("/") if path.startswith("file:") else path
-    return fs.FileSystem.from_uri(re.sub(r"^s3a:", "s3:", re.sub(r"^gcs:", "gs:", path)))
+    scheme, place, inner = parts_of(path)
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + inner.lstrip("/") if path.startswith("file:") else path
+    system, root = fs.FileSystem.from_uri(f"{ {'s3a': 's3', 'gcs': 'gs'}.get(scheme, scheme)}://{place}/")
+    return system, root.rstrip("/") + "/" + inner.lstrip("/")
 
 
 def put(path: str, content: bytes) -> None:
