@@ -705,3 +705,6 @@ def text_embedding(spark, d):
 
     docs = _t(spark, d, "benchmark").select("item_id", "text")
     return embed(docs, dim=32).select("item_id", F.size("vector").alias("dim"))
+
+
+from . import queries_joins  # noqa: E402, F401  registers its queries
