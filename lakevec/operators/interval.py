@@ -64,7 +64,7 @@ def interval_join(
     kind = points.schema[at].dataType.simpleString()
     turn = {"timestamp": F.unix_micros, "timestamp_ntz": lambda c: F.unix_micros(c.cast("timestamp")), "date": F.unix_date}.get(kind, lambda c: c)
     usable = reduce(and_, [F.col(c).isNotNull() for c in (*by, start, end)], F.col(start) < F.col(end))
-    left = points.withColumn("_at", turn(F.col(at)))
+    left = points.withColumns({"_at": turn(F.col(at)), "_row": F.monotonically_increasing_id()})
     right = intervals.where(usable).withColumns({"_from": turn(F.col(start)), "_to": turn(F.col(end))})
 
     cuts = _cuts(left, "_at", max(2, bins or max(BINS)))
@@ -75,16 +75,20 @@ def interval_join(
         copies = right.agg(F.count("*").alias("n"), *met).first()
         fits = [c for i, c in enumerate(divisions) if (copies[f"c{i}"] or 0) <= COPIES * (n_points + copies["n"])]
         cuts = fits[-1] if fits else divisions[0]
-    left = left.withColumn("_bin", _bin(F.col("_at"), cuts))
+    # the optimizer carries equalities with an expression that has a lambda to the other side of a join, where its columns
+    # aren't; it leaves out what may differ from run to run, so a number that is always 0 is added
+    left = left.withColumn("_bin", _bin(F.col("_at"), cuts) + F.spark_partition_id() * 0)
     right = right.withColumn("_bin", F.explode(F.sequence(_bin(F.col("_from"), cuts), _bin(F.col("_to"), cuts))))
 
-    # heavy bins: a row each, of which there are at most HEAVIEST
-    heavy = left.groupBy(*by, "_bin").count().where(F.col("count") > max(most_points, n_points // HEAVIEST))
-    parts = F.broadcast(heavy.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.col("_bin").alias("_heavy"), F.ceil(F.col("count") / max(most_points, n_points // HEAVIEST)).cast("int").alias("_parts")))
+    # heavy bins: a row each, of which there are at most HEAVIEST, counted once for both sides
+    limit = max(most_points, n_points // HEAVIEST)
+    heavy = left.groupBy(*by, "_bin").count().where(F.col("count") > limit)
+    heavy = heavy.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.col("_bin").alias("_heavy"), F.ceil(F.col("count") / limit).cast("int").alias("_parts"))
+    parts = F.broadcast(points.sparkSession.createDataFrame(heavy.collect(), heavy.schema))
     same = lambda: reduce(and_, [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(by)], F.col("_bin") == F.col("_heavy"))
     keys = [f"_k{i}" for i in range(len(by))] + ["_heavy", "_parts"]
     n_parts = F.coalesce("_parts", F.lit(1))
-    left = left.join(parts, same(), "left").withColumn("_part", F.pmod(F.monotonically_increasing_id(), n_parts).cast("int")).drop(*keys)
+    left = left.join(parts, same(), "left").withColumn("_part", F.pmod("_row", n_parts).cast("int")).drop(*keys)
     right = right.join(parts, same(), "left").withColumn("_part", F.explode(F.sequence(F.lit(0), n_parts - 1))).drop(*keys)
 
     a, b = left.alias("a"), right.alias("b")
