@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import storage
 from .functions import vectors
-from .operators import topk
+from .operators import ivf, topk
 from .options import Options
 from .types import CollectionSchema, FieldType
 
@@ -70,17 +71,61 @@ class Catalog:
     def drop(self, database: str, collection: str) -> None:
         storage.delete(self.spark, self._path(database, collection))
 
-    def create_index(self, database: str, collection: str, field: str, metric: str = "L2", kind: str = "AUTOINDEX") -> None:
-        """Kept as metadata; ``search`` is exact and takes its metric from here."""
-        self.describe(database, collection).by_name(field)
+    def create_index(self, database: str, collection: str, field: str, metric: str = "L2", kind: str = "AUTOINDEX", cells: int | None = None) -> None:
+        """Metadata that ``search`` takes its metric from and, for IVF_FLAT, an inverted-file index of the rows so far.
+
+        The index holds a copy of the rows by cell, and the names of the data files that it was made of: rows that are
+        appended later are searched exactly beside it, until it is made anew. IVF_FLAT needs a vector of floats."""
+        f = self.describe(database, collection).by_name(field)
         if kind not in INDEX_TYPES:
             raise ValueError(f"unknown index type {kind}")
-        self._write(self._path(database, collection, "indexes", field), json.dumps({"field": field, "metric": metric.upper(), "type": kind}))
+        entry = {"field": field, "metric": metric.upper(), "type": kind}
+        if kind == "IVF_FLAT":
+            if metric.upper() not in ivf.METRICS or f.type not in (FieldType.FLOAT_VECTOR, FieldType.FLOAT16_VECTOR, FieldType.BFLOAT16_VECTOR):
+                raise ValueError(f"no {kind} index of {field} by {metric}")
+            entry |= self._build(database, collection, field, metric.upper(), cells)
+        self._write(self._path(database, collection, "indexes", field), json.dumps(entry))
+
+    def _files(self, database: str, collection: str) -> DataFrame:
+        """(file) of a collection's data, which are listed, not read."""
+        return self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self._path(database, collection, "data")).select(F.col("path").alias("file"))
+
+    def _build(self, database: str, collection: str, field: str, metric: str, cells: int | None) -> dict:
+        schema = self.describe(database, collection)
+        base = self._path(database, collection, "index_data", field, uuid.uuid4().hex)
+        key = schema.primary.name
+        path = self._path(database, collection, "data")
+        files = [r[0] for r in self._files(database, collection).collect()] if storage.exists(self.spark, path) else []  # a name for each file
+        # the very files that are written down, whatever is appended meanwhile
+        rows = self.spark.read.option("basePath", path).parquet(*files) if files else self.read(database, collection).withColumn("_partition", F.lit(""))
+        first = rows.select(F.size(field).alias("n")).where("n > 0").first()
+        dim = schema.by_name(field).dim or (first["n"] if first else 1)
+        found = ivf.write(rows, field, ivf.train(rows, field, key, dim, metric, cells), f"{base}/rows")
+        ivf.save_cells(self.spark, found, f"{base}/cells")
+        self.spark.createDataFrame([(f,) for f in files], "file string").coalesce(1).write.parquet(f"{base}/files")
+        probes = ivf.calibrate(self.spark.read.parquet(f"{base}/rows"), found, key, field) if len(found.centres) else 0
+        return {"base": base, "cells": len(found.centres), "probes": probes, **ivf.described(found)}
 
     def index(self, database: str, collection: str, field: str) -> dict | None:
         path = self._path(database, collection, "indexes", field)
         return json.loads(self._read(path)) if storage.exists(self.spark, path) else None
 
+    def drop_index(self, database: str, collection: str, field: str) -> None:
+        for path in (self._path(database, collection, "indexes", field), self._path(database, collection, "index_data", field)):
+            if storage.exists(self.spark, path):
+                storage.delete(self.spark, path)
+
+    def _indexed(self, database: str, collection: str, entry: dict) -> tuple[DataFrame, DataFrame] | None:
+        """(rows by cell, rows that came later), or None where files that the index was made of are gone: it is stale then."""
+        known, now = self.spark.read.parquet(f"{entry['base']}/files"), self._files(database, collection)
+        if known.join(now, "file", "left_anti").limit(1).count():
+            return None
+        path = self._path(database, collection, "data")
+        late = [r[0] for r in now.join(known, "file", "left_anti").collect()]  # names of files since the index
+        stored = self.spark.read.parquet(f"{entry['base']}/rows")
+        rest = self.spark.read.option("basePath", path).parquet(*late) if late else stored.drop("_cell", "_from_centre").limit(0)
+        return stored, rest
+
     def flush(self, database: str, collection: str) -> int:
         """The rows that are visible; appends are as soon as they return."""
         return self.read(database, collection).count()
@@ -121,14 +166,40 @@ class Catalog:
         df = df.where(F.col("_partition") == partition) if partition else df
         return df.select(*[F.col(f.name).alias(f.name, metadata=f.struct_field().metadata) for f in schema.fields])
 
-    def search(self, database: str, collection: str, field: str, query: list[float] | dict[int, float], k: int = 10, output: list[str] | None = None, metric: str = "", where: Column | None = None, partition: str = "") -> DataFrame:
+    def search(
+        self, database: str, collection: str, field: str, query: list[float] | dict[int, float], k: int = 10, output: list[str] | None = None, metric: str = "", where: Column | None = None, partition: str = "",
+        probes: int | None = None, exact: bool = False,
+    ) -> DataFrame:
+        """The ``k`` nearest rows. With an IVF_FLAT index of the metric only its ``probes`` nearest cells are opened (as
+        many as its recall was measured with, unless given), and with ``exact`` those that may hold a nearer row; otherwise all rows are scored."""
         schema = self.describe(database, collection)
-        kind = (metric or (self.index(database, collection, field) or {}).get("metric") or "L2").upper()
+        entry = self.index(database, collection, field) or {}
+        kind = (metric or entry.get("metric") or "L2").upper()
+        if entry.get("type") == "IVF_FLAT" and kind == entry["metric"] and entry["cells"]:
+            found = self._indexed(database, collection, entry)
+            if found:
+                cells = ivf.load_cells(self.spark, f"{entry['base']}/cells", kind, entry["dim"], entry["longest"])
+                test = F.lit(True) if where is None else where
+                test = test & (F.col("_partition") == partition) if partition else test
+                return ivf.search(found[0], cells, query, k, schema.primary.name, field, probes or entry["probes"], test, output, exact, found[1])
         rows = self.read(database, collection, partition)
         if schema.by_name(field).type == FieldType.SPARSE_FLOAT_VECTOR:
             return topk.sparse_top_k(rows if where is None else rows.where(where), query, k, schema.primary.name, field)
         return topk.top_k(rows, query, k, kind, schema.primary.name, field, where, output)
 
+    def search_batch(self, database: str, collection: str, field: str, queries: DataFrame, k: int = 10, metric: str = "", probes: int | None = None) -> DataFrame:
+        """query_id, rank, id, score of the ``k`` nearest rows of every query (named as the collection's key and vector)."""
+        schema, entry = self.describe(database, collection), self.index(database, collection, field) or {}
+        kind, key = (metric or entry.get("metric") or "L2").upper(), schema.primary.name
+        found = self._indexed(database, collection, entry) if entry.get("type") == "IVF_FLAT" and kind == entry["metric"] and entry["cells"] else None
+        if not found:
+            return topk.batch_top_k(self.read(database, collection), queries, k, kind, key, field)
+        cells = ivf.load_cells(self.spark, f"{entry['base']}/cells", kind, entry["dim"], entry["longest"])
+        here = ivf.search_batch(found[0], cells, queries, k, key, field, probes or entry["probes"])
+        both = here.unionByName(topk.batch_top_k(found[1], queries, k, kind, key, field))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score") if kind != "L2" else F.asc("score"), "id")
+        return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
     # imports
 
     def bulk_import(self, database: str, collection: str, path: str, kind: str = "parquet", report: Callable[[dict], None] | None = None) -> DataFrame:
