@@ -7,28 +7,46 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..operators import deletes
-from ..sources import backup, logs
+from ..sources import backup, logs, zonemap
 from ..types import CollectionSchema
 
 SYSTEM = ("partition_id", "segment_id", "_ordinal", "_ts")
 
 
 def read_collection(
-    spark: SparkSession, base: str, schema: CollectionSchema, collection_id: int, partitions: list[int] | None = None, fields: list[str] | None = None, ignore_ts: bool = False, keep_system: bool = False
+    spark: SparkSession, base: str, schema: CollectionSchema, collection_id: int, partitions: list[int] | None = None, fields: list[str] | None = None, ignore_ts: bool = False, keep_system: bool = False,
+    zones: DataFrame | None = None, keys: DataFrame | None = None,
 ) -> DataFrame:
-    """The live rows below ``base``/insert_log and delta_log, of some ``partitions`` and ``fields`` only if given.
+    """The live rows below ``base``/insert_log and delta_log, of some ``partitions`` and ``fields`` only if given, and of
+    some ``keys`` (a column key of the primary key's type) only if given.
 
-    Partitions and fields that aren't wanted are folders that aren't opened.
+    Partitions and fields that aren't wanted are folders that aren't opened. With ``zones`` (``zonemap.build``, of the
+    segments as they are now) neither are segments that can't have one of the keys, and the rows of segments that can't have
+    a deleted key go past the deletes.
     """
     key = schema.primary.name
     wanted = None if fields is None else list(dict.fromkeys([*fields, key]))
     part = "*" if partitions is None else "{" + ",".join(map(str, partitions)) + "}"
     ids = "*" if wanted is None else "{" + ",".join(str(i) for i in [1, *(schema.by_name(f).field_id for f in wanted)]) + "}"
-    rows = logs.read_segments(spark, f"{base}/insert_log/{collection_id}/{part}/*/{ids}", schema, wanted)
+    path = f"{base}/insert_log/{collection_id}/{part}/*/{ids}"
+    wanted_segments = None
+    if zones is not None:
+        wanted_segments = zones if keys is None else zones.join(zonemap.segments_with(zones, keys), ["partition_id", "segment_id"], "left_semi")
+        wanted_segments = storage.materialise(wanted_segments, "zones")
+    read = lambda some: logs.read_segments(spark, path, schema, wanted, segments=some)
+    rows = read(wanted_segments)
     kind = schema.primary.spark_type().simpleString()
     if storage.exists(spark, f"{base}/delta_log/{collection_id}"):
         d = logs.read_deletes(spark, f"{base}/delta_log/{collection_id}") if partitions is None else logs.read_deletes(spark, [f"{base}/delta_log/{collection_id}/{p}" for p in (*partitions, -1) if storage.exists(spark, f"{base}/delta_log/{collection_id}/{p}")])
-        rows = deletes.apply(rows, deletes.consolidate(deletes.keyed(d, "pk", "ts", kind, partition="partition_id")), key, "_ts", "partition_id", ignore_ts)
+        gone = deletes.consolidate(deletes.keyed(d, "pk", "ts", kind, partition="partition_id"))
+        if zones is None:
+            rows = deletes.apply(rows, gone, key, "_ts", "partition_id", ignore_ts)
+        else:
+            touched = storage.materialise(zonemap.segments_with(wanted_segments, gone.select(F.col("_pk").alias("key"))), "touched")
+            others = wanted_segments.join(touched, ["partition_id", "segment_id"], "left_anti")
+            rows = deletes.apply(read(touched), gone, key, "_ts", "partition_id", ignore_ts).unionByName(read(others))
+    if keys is not None:
+        rows = rows.join(keys.select(F.col("key").alias(key)).distinct(), key, "left_semi")
     return rows if keep_system else rows.select(*(fields or [f.name for f in schema.fields]))
 
 
@@ -46,9 +64,8 @@ def read_backup_collection(spark: SparkSession, path: str, collection: str, data
     if not any(not r["is_l0"] for r in known):
         return empty
     base, coll = path.rstrip("/"), known[0]["collection_id"]
-    rows = logs.read_segments(spark, f"{base}/binlogs/insert_log/{coll}", schema)
     live = spark.createDataFrame([(r["partition_id"], r["segment_id"]) for r in known if not r["is_l0"]], "partition_id long, segment_id long")
-    rows = rows.join(live.hint("merge") if len(known) > 100_000 else F.broadcast(live), ["partition_id", "segment_id"], "left_semi")
+    rows = logs.read_segments(spark, f"{base}/binlogs/insert_log/{coll}", schema, segments=live)  # of others no file is opened
     folder = f"{base}/binlogs/delta_log/{coll}"
     if storage.exists(spark, folder):
         kind = schema.primary.spark_type().simpleString()

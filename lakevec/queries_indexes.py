@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from . import storage
 from .catalog import Catalog, write_collection
+from .plans import collection as plans
 from .registry import query, table
+from .sources import zonemap
 
 _V = "CAST(embedding AS DOUBLE[])"
 _Q = f"(SELECT {_V} FROM embeddings WHERE vec_id = 7)"
@@ -58,3 +60,38 @@ def ivf_recall(spark, d):
     some, all_ = (catalog.search_batch("default", "v", "embedding", queries, 10, probes=p).select("query_id", "id") for p in (None, 1 << 20))
     both = all_.join(some.withColumn("hit", F.lit(1)), ["query_id", "id"], "left")
     return both.agg((F.sum(F.coalesce("hit", F.lit(0))) / F.count("*") >= 0.9).alias("enough"), F.count_distinct("query_id").alias("queries"))
+
+
+# --- zone maps
+
+
+def _zoned(spark, d, name: str):
+    from .queries import _COLLECTION, _ORDERS, _delete_files, _written
+
+    base = _written(spark, d, name)
+    _delete_files(spark, d, base)
+    return base, zonemap.build(spark, f"{base}/insert_log/{_COLLECTION}", _ORDERS), _ORDERS, _COLLECTION
+
+
+_LIVE = "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 7 <> 0 AND NOT (o_orderkey % 11 = 0 AND o_orderkey % 2 = 1)"
+
+
+@query(f"SELECT * FROM ({_LIVE}) WHERE o_orderkey % 997 = 5")
+def zoned_keys(spark, d):
+    """Some keys of a collection: only segments whose range and filter may have one are opened."""
+    base, zones, schema, collection = _zoned(spark, d, "zoned")
+    keys = table(spark, d, "orders").where("o_orderkey % 997 = 5").select(F.col("o_orderkey").alias("key"))
+    return plans.read_collection(spark, base, schema, collection, zones=storage.materialise(zones, "zones"), keys=keys)
+
+
+@query(_LIVE)
+def zoned_deletes(spark, d):
+    """The live collection, its deletes joined only to segments that may have a deleted key."""
+    base, zones, schema, collection = _zoned(spark, d, "zoned")
+    return plans.read_collection(spark, base, schema, collection, zones=storage.materialise(zones, "zones"))
+
+
+@query("SELECT ascii(o_orderstatus) AS partition_id, count(*) AS rows, min(o_orderkey) AS least, max(o_orderkey) AS most FROM orders GROUP BY 1")
+def zone_ranges(spark, d):
+    zones = _zoned(spark, d, "ranges")[1]
+    return zones.groupBy(F.col("partition_id").cast("int").alias("partition_id")).agg(F.sum("rows").alias("rows"), F.min("least").alias("least"), F.max("most").alias("most"))

@@ -147,12 +147,14 @@ def decode_deletes(contents: DataFrame) -> DataFrame:
 
 
 def read_segments(
-    spark: SparkSession, paths: str | list[str], schema: CollectionSchema, fields: list[str] | None = None, with_system: bool = True, nullable_missing: bool = True
+    spark: SparkSession, paths: str | list[str], schema: CollectionSchema, fields: list[str] | None = None, with_system: bool = True, nullable_missing: bool = True,
+    segments: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of segments below ``paths``: partition_id, segment_id, _ordinal, _ts and the fields.
 
     Paths end in ``.../{partition}/{segment}/{field}/{file}``; a field's files follow each other by name. Only the
-    folders of the wanted ``fields`` are opened. ValueError where two fields of a segment have
+    folders of the wanted ``fields`` are opened, and of the wanted ``segments`` (partition_id, segment_id) if they are
+    given: their paths are picked before any file is opened. ValueError where two fields of a segment have
     different lengths. A field without a folder is null, unless it may not be.
     """
     wanted = [schema.by_name(n) for n in (fields or [f.name for f in schema.fields])]
@@ -162,6 +164,8 @@ def read_segments(
     rows = listed(spark, paths).withColumn("content", F.col("path")) if by_path else files(spark, paths)
     rows = rows.select(part(1).try_cast("long").alias("partition_id"), part(2).try_cast("long").alias("segment_id"), part(3).try_cast("long").alias("field_id"), part(4).alias("file"), "content")
     rows = rows.where(F.col("field_id").isin(ids))
+    if segments is not None:
+        rows = rows.join(segments.select("partition_id", "segment_id"), ["partition_id", "segment_id"], "left_semi")
     system = [T.StructField("_ts", T.LongType())] if with_system else []
     out = T.StructType(
         [T.StructField("partition_id", T.LongType()), T.StructField("segment_id", T.LongType()), T.StructField("_ordinal", T.LongType()), *system]
