@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from . import storage
 from .catalog import Catalog, write_collection
+from .operators import postings
 from .plans import collection as plans
 from .registry import query, table
 from .sources import zonemap
@@ -62,6 +63,24 @@ def ivf_recall(spark, d):
     return both.agg((F.sum(F.coalesce("hit", F.lit(0))) / F.count("*") >= 0.9).alias("enough"), F.count_distinct("query_id").alias("queries"))
 
 
+# --- posting lists
+
+
+def _positive(v: str):
+    return F.map_from_entries(F.filter(F.transform(v, lambda x, i: F.struct(i.cast("long").alias("key"), x.alias("value"))), lambda e: e["value"] > 0))
+
+
+@query("""WITH e AS (SELECT vec_id, unnest(range(64)) AS i, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings), p AS (SELECT * FROM e WHERE v > 0),
+  s AS (SELECT q.vec_id AS query_id, p.vec_id AS id, sum(q.v * p.v) AS s FROM p q JOIN p ON q.i = p.i WHERE q.vec_id % 50 = 0 GROUP BY 1, 2)
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS INTEGER) AS rank, id, round(s, 6) AS score FROM s QUALIFY rank <= 10""")
+def sparse_postings(spark, d):
+    """The sparse vectors with the largest inner products for many queries, through posting lists with block maxima."""
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), _positive("embedding").alias("vector"))
+    lists = postings.build(rows, storage.scratch(spark, "postings"))
+    found = postings.search(lists, rows.where("id % 50 = 0").withColumnRenamed("id", "query_id"), 10)
+    return found.select("query_id", "rank", "id", F.round("score", 6).alias("score"))
+
+
 # --- zone maps
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .operators.interval import interval_join
+from .operators.quantiles import quantiles
 from .registry import query, table
 
 _WINDOWS = "SELECT event_id AS window_id, user_id, ts AS opened, ts + to_hours(CAST(1 + event_id % 40 AS INTEGER)) AS closed FROM events WHERE event_type = 'purchase'"
@@ -43,3 +44,20 @@ def interval_join_prices(spark, d):
     prices = table(spark, d, "part").select("p_partkey", F.col("p_retailprice").cast("double").alias("price"))
     both = interval_join(prices, ranges, "price", "low", "high")
     return both.groupBy("p_partkey").agg(F.count("*").alias("n"), F.max("low").alias("low"))
+
+
+_AT = (0.01, 0.25, 0.5, 0.75, 0.999)
+_QUANTILES = """SELECT '{c}' AS "column", count({c}) AS rows, CAST(min({c}) AS DOUBLE) AS min, {at}, CAST(max({c}) AS DOUBLE) AS max FROM lineitem"""
+_QUANTILE_SQL = " UNION ALL ".join(
+    _QUANTILES.format(c=c, at=", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), {p}), 6) AS p{round(100 * p, 4):g}".replace("p99.9", "p99_9") for p in _AT))
+    for c in ("l_orderkey", "l_quantity", "l_extendedprice", "l_discount")
+)
+
+
+@query(_QUANTILE_SQL)
+def exact_quantiles(spark, d):
+    """Exact quantiles of four columns at once, by counts of digits."""
+    columns = ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount"]
+    lines = table(spark, d, "lineitem").select("l_orderkey", *[F.col(c).cast("double").alias(c) for c in columns[1:]])
+    found = quantiles(lines, columns, _AT)
+    return found.select("column", "rows", "min", *[F.round(c, 6).alias(c) for c in found.columns[3:-1]], "max")
