@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .operators.interval import interval_join
 from .operators.quantiles import quantiles
+from .operators.scan import scan
 from .registry import query, table
 
 _WINDOWS = "SELECT event_id AS window_id, user_id, ts AS opened, ts + to_hours(CAST(1 + event_id % 40 AS INTEGER)) AS closed FROM events WHERE event_type = 'purchase'"
@@ -61,3 +62,14 @@ def exact_quantiles(spark, d):
     lines = table(spark, d, "lineitem").select("l_orderkey", *[F.col(c).cast("double").alias(c) for c in columns[1:]])
     found = quantiles(lines, columns, _AT)
     return found.select("column", "rows", "min", *[F.round(c, 6).alias(c) for c in found.columns[3:-1]], "max")
+
+
+@query("""SELECT event_id, u, row_number() OVER w AS row_number, rank() OVER r AS rank, dense_rank() OVER r AS dense_rank, round(sum(value) OVER (w ROWS UNBOUNDED PRECEDING), 4) AS running_sum, lag(value) OVER w AS previous
+  FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS u, date_trunc('hour', ts) AS h, CAST(value AS DOUBLE) AS value FROM events)
+  WINDOW w AS (PARTITION BY u ORDER BY h, event_id), r AS (PARTITION BY u ORDER BY h)""")
+def hot_key_windows(spark, d):
+    """Ranks, running sums and previous values where one user has a third of all events."""
+    u = F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")).cast("long")
+    rows = table(spark, d, "events").select("event_id", u.alias("u"), F.date_trunc("hour", "ts").alias("h"), F.col("value").cast("double").alias("value"))
+    found = scan(rows, ["u"], "h", "value", ["event_id"])
+    return found.select("event_id", "u", "row_number", "rank", "dense_rank", F.round("running_sum", 4).alias("running_sum"), "previous")
