@@ -30,3 +30,15 @@ def parse_key(text: Column) -> Column:
 def valid(text: Column) -> Column:
     """Whether the text is JSON; null for null."""
     return F.when(text.isNotNull(), F.try_parse_json(text).isNotNull())
+
+
+def extract(df, text: str, paths: dict[str, tuple[str, str]]):
+    """``df`` with a column for each of ``paths`` (name -> (path, type)) of a JSON text, which is parsed once, to a variant;
+    null where the text is no JSON, the path is missing or its value isn't of the type."""
+    parsed = df.withColumn("_variant", F.try_parse_json(F.col(text)))
+    return parsed.select(*df.columns, *[F.try_variant_get("_variant", path, kind).alias(name) for name, (path, kind) in paths.items()])
+
+
+def variant_schema(df, text: str) -> str:
+    """The schema that all JSON texts of a column have in common, by one aggregate over the parsed values."""
+    return df.select(F.schema_of_variant_agg(F.try_parse_json(F.col(text)))).first()[0]

@@ -707,4 +707,4 @@ def text_embedding(spark, d):
     return embed(docs, dim=32).select("item_id", F.size("vector").alias("dim"))
 
 
-from . import queries_indexes, queries_joins, queries_sources, queries_streams  # noqa: E402, F401  they register their queries
+from . import queries_functions, queries_indexes, queries_joins, queries_sources, queries_streams  # noqa: E402, F401  they register their queries
