@@ -18,12 +18,12 @@ def table_function(spark, d):
     return spark.sql("SELECT event_id, user_id, session FROM sessions_of(TABLE({rows}), 'user_id', 'ts', 21600)", rows=rows)
 
 
-@query("""SELECT l_orderkey, l_linenumber, round(CASE WHEN l_quantity <> 0 THEN CAST(l_extendedprice AS DOUBLE) * (1 - CAST(l_discount AS DOUBLE)) / CAST(l_quantity AS DOUBLE) END, 6) AS each
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <> 0 THEN CAST(l_extendedprice AS DOUBLE) * (1 - CAST(l_discount AS DOUBLE)) / CAST(l_quantity AS DOUBLE) END AS each
   FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1996-01-01'""")
 def registered_functions(spark, d):
     """SQL text with registered functions, whose bodies are inlined."""
     sqlfn.register(spark)
-    text = """SELECT l_orderkey, l_linenumber, round(unit_price(l_extendedprice, l_discount, l_quantity), 6) AS each FROM {lines}
+    text = """SELECT l_orderkey, l_linenumber, unit_price(l_extendedprice, l_discount, l_quantity) AS each FROM {lines}
       WHERE half_open(CAST(l_shipdate AS TIMESTAMP), TIMESTAMP '1995-01-01', TIMESTAMP '1996-01-01')"""
     return spark.sql(text, lines=table(spark, d, "lineitem"))
 
