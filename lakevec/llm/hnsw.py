@@ -12,6 +12,8 @@ links join near vectors and the largest inner product is the nearest neighbour.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -295,12 +297,13 @@ def build_index(rows: DataFrame, dim: int, keep: int = K + 1, most_bytes: int =
 
 
 def _searcher(queries, k: int, width: int):
-    """A function from a shard's graph to what it finds for the broadcast queries."""
+    """A function from shards' graphs, one after the other, to what they find for the broadcast queries."""
 
-    def search(graphs: pa.Table) -> pa.Table:
-        at = [Graph.of_row(row).nearest(*queries.value, k, width) for row in graphs.to_pylist()]
-        columns = [np.concatenate(x) for x in zip(*at, strict=True)] if at else [np.zeros(0)] * 3
-        return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = Graph.of_row(batch.slice(i, 1).to_pylist()[0]).nearest(*queries.value, k, width)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
 
     return search
 
@@ -308,23 +311,24 @@ def _searcher(queries, k: int, width: int):
 def search_index(index: DataFrame, shards: int, queries: DataFrame, dim: int, k: int = K, width: int = BEAM_SEARCH, most_bytes: int = QUERY_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for each row (vec_id, vector) of ``queries``.
 
-    Every shard is searched for every query, in blocks of queries that are broadcast one after the other, so that
-    neither a query's vector nor a graph is copied for each pair of them; the shards' lists of ``k`` are then merged.
+    Every shard is searched for every query, in blocks of queries that are broadcast one after the other, where its graph
+    is stored: graphs aren't shuffled. The shards' lists of ``k`` are merged block by block, so that no more than ``k`` rows
+    of a query are kept.
     """
     spark = index.sparkSession
     queries = queries.select("vec_id", "vector").dropDuplicates(["vec_id"])
     blocks = max(1, -(-queries.count() * 8 * (dim + 1) // most_bytes))
     block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")
     asked = common.materialise(queries.withColumn("block", block), "queries") if blocks > 1 else queries.withColumn("block", F.lit(0))
-    found = None
+    best, found = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"), None
     for b in range(blocks):
         part = asked.where(F.col("block") == b).toArrow()  # about ``most_bytes``
         shared = spark.sparkContext.broadcast((part.column("vec_id").to_numpy(), _matrix(part.column("vector"), dim)))
-        here = common.materialise(index.groupBy("shard").applyInArrow(_searcher(shared, k, width), FOUND), "found")
+        lists = index.mapInArrow(_searcher(shared, k, width), FOUND).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        here = common.materialise(lists, "found")
         shared.destroy()
         found = here if found is None else found.unionByName(here)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def search_table(table: DataFrame, every: int = 20, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", width: int = BEAM_SEARCH) -> DataFrame:
