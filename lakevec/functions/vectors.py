@@ -60,10 +60,13 @@ def to_half_truncated(x: np.ndarray) -> np.ndarray:
 
 
 def _encoded(values: pa.Array, write) -> pa.Array:
-    out = []
-    for v in values:
-        out.append(None if not v.is_valid else write(np.array(v.values.to_numpy(zero_copy_only=False), np.float32)).tobytes())
-    return pa.array(out, pa.binary())
+    """Each list's bytes, all components written at once."""
+    raw = write(values.flatten().to_numpy(zero_copy_only=False).astype(np.float32))
+    sizes = np.nan_to_num(values.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)  # null: no bytes
+    offsets = np.concatenate([[0], np.cumsum(sizes * raw.dtype.itemsize)]).astype(np.int64)
+    known = pa.array(~np.array(values.is_null())).buffers()[1] if values.null_count else None
+    made = pa.Array.from_buffers(pa.large_binary(), len(values), [known, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())])
+    return made.cast(pa.binary())
 
 
 @arrow_udf(_FLOATS)

@@ -79,8 +79,9 @@ def backup_deletes(spark: SparkSession, path: str, collection: str, scope: str =
     (``scope`` "collection"); empty where there are none."""
     s = backup.segments(backup.read_backup(spark, path)).where((F.col("collection_name") == collection) & F.col("is_l0") & (F.col("scope") == scope))
     known = s.select("collection_id", "partition_id", "segment_id").collect()  # metadata: a row for each delete segment
-    folders = [f"{path.rstrip('/')}/binlogs/delta_log/{r[0]}/{r[1]}/{r[2]}" for r in known]
-    return logs.read_deletes(spark, [f for f in folders if storage.exists(spark, f)]).select("pk", "ts", "partition_id")
+    wanted = {f"{r[0]}/{r[1]}/{r[2]}" for r in known}
+    there = [f for c in {r[0] for r in known} for f in storage.glob_folders(spark, f"{path.rstrip('/')}/binlogs/delta_log/{c}/*/*")]
+    return logs.read_deletes(spark, [f for f in there if "/".join(f.rsplit("/", 3)[1:]) in wanted]).select("pk", "ts", "partition_id")
 
 
 def restore(spark: SparkSession, path: str, collection: str, root: str, database: str = "default", partition: str = "") -> int:

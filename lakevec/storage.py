@@ -63,6 +63,12 @@ def glob_files(spark: SparkSession, pattern: str) -> list[str]:
     return found
 
 
+def glob_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match ``pattern``, by one listing."""
+    fs, p = _fs(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or [] if s.isDirectory())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -102,3 +102,14 @@ def test_parts_of_paths():
     assert storage.parts_of("s3a://bucket/a#b/c?d") == ("s3a", "bucket", "/a#b/c?d")
     assert storage.without_bucket("gs://b/x y#z") == "x y#z" and storage.without_bucket("/plain/p") == "plain/p"
     assert [storage.scheme_of(p) for p in ("/a", "a/b:c", "file:/x", "hdfs://h:8020/x")] == ["file", "file", "file", "hdfs"]
+
+
+def test_vectors_of_many_lengths_are_encoded_at_once():
+    import pyarrow as pa
+
+    values = pa.array([[1.5, -2.0], None, [], [0.25], [None, 3.0]], pa.list_(pa.float32()))
+    for part in (values, values.slice(1), values.slice(3, 1), values.slice(0, 0)):
+        got = vectors._encoded(part, lambda x: x.astype("<f4")).to_pylist()
+        want = [None if v is None else np.array([np.nan if x is None else x for x in v], "<f4").tobytes() for v in part.to_pylist()]
+        assert got == want
+    assert vectors._encoded(values.slice(0, 1), vectors.to_half).to_pylist() == [np.array([1.5, -2.0], "<f2").tobytes()]
