@@ -1,19 +1,22 @@
 """Exact dedup by content sort: sampled splitters, external sort, comparison of neighbours.
 
-1. A sample of the rows gives splitters over the sort's keys (first characters of the normalised text, its hash, doc_id),
-   so that the ranges hold about equally many rows even where one text fills a third of the table. Splitters keep only
-   the first characters so that they stay small; the hash orders what these leave equal.
-2. Each row goes to its range with its whole text; inside a range Spark's external sort puts equal texts next to each
+1. A sample of the rows, sorted by the bytes of their normalised texts, gives splitters: of the neighbours near a quantile
+   those that differ soonest, and of the later one as many characters as tell it from the one before it. So a splitter
+   orders whole texts by their bytes and is still short.
+2. Texts that fill a quarter of a range or more in the sample have ranges of their own, over which their ids deal
+   them, so that ranges hold about equally many rows even where one text fills a third of the table.
+3. Each row goes to its range with its whole text; inside a range Spark's external sort puts equal texts next to each
    other, and every normalised text is compared in full with the one before it.
-3. A group that a splitter cuts is the only kind that lies in more than one range. Of such groups, whose number the
-   number of splitters bounds, one text from each range is compared in full again, and the parts are put together.
+4. Only groups of such frequent texts lie in more than one range. Of these, whose number the number of ranges bounds, one
+   text from each range is compared in full again, and the parts are put together.
 
 DataFrame functions only; the text is shuffled once and nothing but narrow rows after that.
 """
 
 from __future__ import annotations
 
-from math import isqrt
+from collections import Counter
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,50 +28,87 @@ from . import common
 RANGES_PER_PARTITION, RANGES = 6, 12_000
 #: Sampled rows for each range.
 SAMPLED_PER_RANGE = 24
-#: Leading characters of the text that order the ranges.
-PREFIX = 24
 _LAST = (1 << 63) - 1
 
 
-def _keys(norm: Column) -> list[Column]:
-    """What the ranges are cut by: the first characters, the hash and the id (null ids last)."""
-    return [F.substring(norm, 1, PREFIX).alias("_head"), F.xxhash64(norm).alias("_hash"), F.coalesce(F.col("_id"), F.lit(_LAST)).alias("_key")]
+def _shared(a: Column, b: Column) -> Column:
+    """How many characters two texts begin with alike."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(30))])
+    same = lambda n: a.substr(F.lit(1), n) == b.substr(F.lit(1), n)
+    whole = F.least(F.length(a), F.length(b))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= whole) & same(at + step), at + step).otherwise(at))
 
 
-def _splitters(rows: DataFrame, ranges: int, n_rows: int) -> list[tuple[str, int, int]]:
+def _cuts(hashes: list[int], shared: list[int], ranges: int) -> tuple[list[int], dict[int, int]]:
+    """Of a sorted sample (hash of each text, characters shared with the one before): the places of the splitters, and
+    the hashes of frequent texts with how many ranges each has."""
+    step = len(hashes) / ranges
+    frequent = {h: min(n, ceil(n / step)) for h, n in Counter(hashes).items() if n > 1 and 4 * n >= step}
+    rest = [i for i, h in enumerate(hashes) if h not in frequent]
+    places = set()
+    for k in range(1, ceil(len(rest) / step) if rest else 0):
+        near = range(max(1, int((k - 0.25) * step)), min(len(rest) - 1, int((k + 0.25) * step)) + 1)
+        fresh = [(shared[rest[j]], rest[j]) for j in near if hashes[rest[j]] != hashes[rest[j - 1]]]
+        if fresh:
+            places.add(min(fresh)[1])
+    return sorted(places), frequent
+
+
+def _splitters(rows: DataFrame, ranges: int, n_rows: int) -> tuple[list[str], list[tuple[int, int, int]]]:
+    """Splitters in order, and (hash, first range, ranges) of each frequent text by hash."""
     fraction = min(1.0, ranges * SAMPLED_PER_RANGE / max(1, n_rows))
-    # sampled before anything is computed; ranges * SAMPLED_PER_RANGE short rows come, not more for more data
-    seen = sorted(tuple(r) for r in rows.sample(fraction, seed=8).select(*_keys(common.squeezed(F.col("_text")))).collect())
-    cuts = [seen[len(seen) * i // ranges] for i in range(1, ranges)] if seen else []
-    return sorted(set(cuts))
-
-
-def _range_of(cuts: list[tuple[str, int, int]]) -> Column:
-    """The number of splitters at or below the row's key, by two look-ups of about the square root of their number."""
-    me = F.struct(F.col("_head").alias("a"), F.col("_hash").alias("b"), F.col("_key").alias("c"))
-    entry = lambda x: F.struct(F.lit(x[0]).alias("a"), F.lit(x[1]).cast("long").alias("b"), F.lit(x[2]).cast("long").alias("c"))
-    below = lambda a: F.size(F.filter(a, lambda x: x <= me))
-    if not cuts:
+    order = Window.orderBy("_norm")  # over the sample: ranges * SAMPLED_PER_RANGE texts, not more for more data
+    # sampled before anything is computed
+    seen = rows.sample(fraction, seed=8).select(common.squeezed(F.col("_text")).alias("_norm"))
+    seen = seen.select("_norm", F.row_number().over(order).alias("_at"), F.lag("_norm", 1, "").over(order).alias("_before"))
+    seen = seen.withColumn("_shared", _shared(F.col("_norm"), F.col("_before")))
+    start = F.when(F.col("_norm") != F.col("_before"), F.col("_norm").substr(F.lit(1), F.col("_shared") + 1))
+    seen = common.materialise(seen.select("_at", F.xxhash64("_norm").alias("_hash"), "_shared", start.alias("_start")), "sample")
+    narrow = sorted(tuple(r) for r in seen.select("_at", "_hash", "_shared").collect())
+    places, frequent = _cuts([r[1] for r in narrow], [r[2] for r in narrow], ranges) if narrow else ([], {})
+    cuts = sorted(r[0] for r in seen.where(F.col("_at").isin([narrow[i][0] for i in places])).select("_start").collect()) if places else []
+    own, first = [], len(cuts) + 1
+    for h, parts in sorted(frequent.items()):
+        own.append((h, first, parts))
+        first += parts
+    return cuts, own
+
+
+def _at_or_below(entries: list, x: Column) -> Column:
+    """How many of the sorted ``entries`` are at or below ``x``, by halving."""
+    if not entries:
         return F.lit(0)
-    fan = isqrt(len(cuts)) + 1
-    blocks = [cuts[i : i + fan] for i in range(0, len(cuts), fan)]
-    upper = F.array(*[entry(b[0]) for b in blocks])
-    lower = F.array(*[F.array(*[entry(x) for x in b]) for b in blocks])
-    block = below(upper)
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * fan + below(F.element_at(lower, F.greatest(block, F.lit(1)))))
+    n, array = len(entries), F.array(*[F.lit(e) for e in entries])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+    reached = lambda at: F.element_at(array, F.least(at, F.lit(n))) <= x
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= n) & reached(at + step), at + step).otherwise(at))
+
+
+def _dealt(rows: DataFrame, norm: Column, cuts: list[str], own: list[tuple[int, int, int]]) -> DataFrame:
+    """``rows`` with _key, _range, and _cut: whether the row's group may lie in more than one range."""
+    kept = rows.columns
+    rows = rows.withColumn("_n", norm).withColumn("_key", F.coalesce(F.col("_id"), F.lit(_LAST)))
+    if not own:
+        return rows.select(*kept, "_key", F.lit(False).alias("_cut"), _at_or_below(cuts, F.col("_n")).alias("_range"))
+    rows = rows.withColumn("_hash", F.xxhash64("_n"))
+    rows = rows.withColumn("_own", F.greatest(_at_or_below([h for h, _, _ in own], F.col("_hash")), F.lit(1)))
+    of = lambda i: F.element_at(F.array(*[F.lit(x[i]) for x in own]), F.col("_own"))
+    frequent = of(0) == F.col("_hash")
+    mine = (of(1) + F.pmod(F.xxhash64("_key"), of(2))).cast("int")
+    return rows.select(
+        *kept, "_key", (frequent & (of(2) > 1)).alias("_cut"), F.when(frequent, mine).otherwise(_at_or_below(cuts, F.col("_n"))).alias("_range")
+    )
 
 
 def _sorted(rows: DataFrame, n_rows: int, tie: Column, normal: bool) -> DataFrame:
     """``rows`` (_id, _text, others) with _key, _cut, _first, _range, _group, _keep, _size and _norm (of rows that are the
-    first of a part of a group that a splitter may cut). ``normal``: the normalised text is shuffled, else the text."""
+    first of a part of a group of a frequent text). ``normal``: the normalised text is shuffled, else the text."""
     shuffle = common.shuffle_partitions(rows.sparkSession)
-    cuts = _splitters(rows, max(1, shuffle, min(RANGES_PER_PARTITION * shuffle, RANGES)), n_rows)
-    cut = F.col("_hash").isin([int(x[1]) for x in cuts]) if cuts else F.lit(False)
+    cuts, own = _splitters(rows, max(1, shuffle, min(RANGES_PER_PARTITION * shuffle, RANGES)), n_rows)
     norm = common.squeezed(F.col("_text"))
     if normal:
         rows, norm = rows.withColumn("_text", norm), F.col("_text")
-    kept = rows.columns
-    rows = rows.select("*", *_keys(norm)).select(*kept, "_key", cut.alias("_cut"), _range_of(cuts).alias("_range"))
+    rows = _dealt(rows, norm, cuts, own)
     rows = rows.repartition("_range").withColumn("_norm", norm)
     sort = Window.partitionBy("_range").orderBy("_norm", "_key", tie)
     so_far = sort.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -78,8 +118,8 @@ def _sorted(rows: DataFrame, n_rows: int, tie: Column, normal: bool) -> DataFram
 
 
 def _whole(rows: DataFrame) -> DataFrame:
-    """Of groups that splitters cut: _range, _group, and the smallest key and size of the whole. Not more rows than twice
-    the splitters (a few for each shuffle partition): small for any input."""
+    """Of groups that lie in several ranges: _range, _group, and the smallest key and size of the whole. Not more rows than
+    the frequent texts have ranges (a few for each shuffle partition): small for any input."""
     same = Window.partitionBy("_norm")
     parts = rows.where("_cut AND _first").select("_range", "_group", F.min("_keep").over(same).alias("_all_keep"), F.sum("_size").over(same).alias("_all_size"))
     return F.broadcast(parts)

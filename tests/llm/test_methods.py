@@ -58,6 +58,27 @@ def test_groups_that_splitters_cut(spark, monkeypatch, ranges):
     assert sorted((squeeze(x.text), str(x.doc_id)) for x in kept.collect()) == sorted((t, str(i)) for t, i in least.items())
     assert first == sorted(map(str, exact_dedup.drop_copies(docs.repartition(7)).collect()))
 
+def test_splitters_follow_the_bytes_of_whole_texts(spark):
+    """Texts that begin alike for 500 characters are told apart, ranges are even, and a frequent text has its own."""
+    texts = ["q" * 500 + f"{i * 7919 % 3000:05}" for i in range(3000)] + ["q" * 499 + "é"] * 1500 + ["ab"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "_id long, _text string").repartition(5)
+    cuts, own = exact_dedup._splitters(docs, 16, len(texts))
+    assert cuts == sorted(cuts) and max(map(len, cuts)) <= 505 and len(own) == 1 and own[0][2] > 1
+    rows = exact_dedup._dealt(docs, F.col("_text"), cuts, own).select("_text", "_range", "_cut").collect()
+    sizes = {}
+    for r in rows:
+        sizes[r["_range"]] = sizes.get(r["_range"], 0) + 1
+        assert r["_cut"] == r["_text"].endswith("é")
+    assert max(sizes.values()) < 3 * len(texts) / 16 and len(sizes) > 10
+    plain = sorted((r["_text"], r["_range"]) for r in rows if not r["_cut"])
+    assert [x for _, x in plain] == sorted(x for _, x in plain)
+    assert exact_dedup._splitters(docs.limit(0), 16, 0) == ([], [])
+
+
+@pytest.mark.parametrize("a,b,n", [("", "", 0), ("abc", "abd", 2), ("abc", "abcd", 3), ("éx", "éy", 1), ("x" * 5000, "x" * 4999 + "y", 4999), ("a", "b", 0)])
+def test_shared_beginnings(spark, a, b, n):
+    assert spark.createDataFrame([(a, b)], "a string, b string").select(exact_dedup._shared(F.col("a"), F.col("b"))).first()[0] == n
+
 
 def test_rules_of_style_sheets():
     page = "<style>.ad p{display:none} nav > span{display:none} #x.y{display:none} * .q{visibility:hidden} .ad p.keep{display:block}</style>"
