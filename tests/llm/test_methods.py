@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import DATA
 
 llm = pytest.importorskip("lakevec.llm")
-from lakevec.llm import exact_dedup, hnsw, html, pieces, sharding  # noqa: E402
+from lakevec.llm import exact_dedup, hnsw, html, pieces, secrets, sharding  # noqa: E402
 
 
 def test_rounds_give_the_library_ids():
@@ -80,6 +80,30 @@ def test_shared_beginnings(spark, a, b, n):
     assert spark.createDataFrame([(a, b)], "a string, b string").select(exact_dedup._shared(F.col("a"), F.col("b"))).first()[0] == n
 
 
+@pytest.mark.parametrize("n", [0, 1, 12, 47, 48, 49, 56, 57, 88, 89, 5000])
+def test_views_cover_whole_candidates(n):
+    text = "x" * 30 + "".join(chr(0x4E00 + i) for i in range(n)) + " after it all"
+    views = secrets.views(text, 30, 30 + n)
+    seen, at = set(), 30
+    for before, body, after in views[1:] or views:
+        at = text.index(body, at) if n > 48 else 30
+        assert before == "x" * secrets.BEFORE and after == " after i" and len(body) == min(n, secrets.INSIDE)
+        seen |= set(range(at, at + len(body)))
+    assert seen == set(range(30, 30 + n))
+
+
+def test_a_secret_late_in_a_long_candidate_counts():
+    class Marks:
+        """Stands for a network that knows one sign."""
+
+        def logits(self, x):
+            return np.where((x == ord("Z") + 2).any(1), 9.0, -9.0)
+
+    text = "see " + "x1" * 400 + "Z" + "y2" * 300 + " and " + "w3" * 90
+    spans = secrets.scan([text, None, ""], secrets.Scanner(Marks(), threshold=0.5))
+    assert [[(a, b, k) for a, b, k, _ in s] for s in spans] == [[(4, 4 + 1401, "net")], [], []]
+
+
 def test_rules_of_style_sheets():
     page = "<style>.ad p{display:none} nav > span{display:none} #x.y{display:none} * .q{visibility:hidden} .ad p.keep{display:block}</style>"
     page += "<div class=ad><div><p>gone</p><p class=keep>stays</p></div></div><p>seen</p><nav><span>child</span><b><span>deep</span></b></nav>"
