@@ -61,7 +61,8 @@ def _splitters(rows: DataFrame, ranges: int, n_rows: int) -> tuple[list[str], li
     # sampled before anything is computed
     seen = rows.sample(fraction, seed=8).select(common.squeezed(F.col("_text")).alias("_norm"))
     seen = seen.select("_norm", F.row_number().over(order).alias("_at"), F.lag("_norm", 1, "").over(order).alias("_before"))
-    seen = seen.withColumn("_shared", _shared(F.col("_norm"), F.col("_before")))
+    # the one task only sorts: neighbours are compared in many
+    seen = seen.repartition("_at").withColumn("_shared", _shared(F.col("_norm"), F.col("_before")))
     start = F.when(F.col("_norm") != F.col("_before"), F.col("_norm").substr(F.lit(1), F.col("_shared") + 1))
     seen = common.materialise(seen.select("_at", F.xxhash64("_norm").alias("_hash"), "_shared", start.alias("_start")), "sample")
     narrow = sorted(tuple(r) for r in seen.select("_at", "_hash", "_shared").collect())
