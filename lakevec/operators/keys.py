@@ -13,10 +13,15 @@ def distribution(rows: DataFrame, pk: str = "pk", ts: str = "ts") -> DataFrame:
 
 
 def compare(left: DataFrame, right: DataFrame, pk: str = "pk", ts: str = "ts") -> DataFrame:
-    """Per key of both sides: its times and sides (in the order of time), earliest and latest time."""
-    both = label(left, right, pk, ts)
-    out = both.groupBy("pk").agg(F.sort_array(F.collect_list(F.struct("ts", "source"))).alias("_all"), F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"), F.count_distinct("source").alias("_sides"))
-    return out.where("_sides = 2").select("pk", F.col("_all.ts").alias("timestamps"), F.col("_all.source").alias("sources"), "min_ts", "max_ts")
+    """Per key of both sides: its times and sides (in the order of time), earliest and latest time. A null time is left out
+    of the earliest and latest, and comes first.
+
+    Rows are counted by key, time and side before a key's are brought together. A key's list is the result itself, so it has
+    to fit in a row."""
+    per = label(left, right, pk, ts).groupBy("pk", "ts", "source").agg(F.count("*").cast("int").alias("n"))
+    sides = per.groupBy("pk").agg(F.min("source").alias("low"), F.max("source").alias("high"), F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"), F.sort_array(F.collect_list(F.struct("ts", "source", "n"))).alias("all"))
+    times = lambda name: F.flatten(F.transform("all", lambda x: F.array_repeat(x[name], x["n"])))
+    return sides.where("low <> high").select("pk", times("ts").alias("timestamps"), times("source").alias("sources"), "min_ts", "max_ts")
 
 
 def label(left: DataFrame, right: DataFrame, pk: str, ts: str) -> DataFrame:

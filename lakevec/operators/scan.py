@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import storage
+from .asof import asof_join
 
+_LEAST = -(1 << 63)
+#: Columns that a scan adds for itself.
+_OWN = ("_order", "_value", "_part", "_at", "_first")
 ADDED = ("row_number", "rank", "dense_rank", "running_sum", "previous")
 
 
@@ -72,7 +76,7 @@ def scan(df: DataFrame, by: list[str], order: str, value: str, tie: list[str] |
     ``value`` is summed up to and with the row (nulls count as 0; whole numbers exactly, others in double precision) and
     taken from the row before. Null keys are one key. Rows that are equal in all of these are numbered in any order.
     """
-    clash = set(ADDED) & set(df.columns)
+    clash = {*ADDED, *_OWN} & set(df.columns)
     if clash:
         raise ValueError(f"there is a column {sorted(clash)[0]} already")
     whole = df.schema[value].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
@@ -115,3 +119,32 @@ def scan(df: DataFrame, by: list[str], order: str, value: str, tie: list[str] |
         "previous": F.when(mine & (F.col("_row_number") == 1), F.col("_c_value")).otherwise(F.col("_previous")),
     }
     return both.select(*df.columns, *[c.alias(n) for n, c in moved.items()])
+
+
+def range_frame(df: DataFrame, by: list[str], order: str, value: str, width: int) -> DataFrame:
+    """``df`` with frame_count and frame_sum: rows of the same ``by`` whose ``order`` is at most ``width`` less than the row's
+    own and not more, and the sum of their values. Rows of one order are all in each other's frames.
+
+    ``order`` is a whole number over the least of 64 bits (of a time, its microseconds); a row without one has those of its
+    key without one in its frame. Null keys are one key, null values count as 0. A frame is the difference of two running
+    sums: exact for whole numbers, in double precision for others. Running sums come from ``scan`` and are looked up by
+    ``asof_join``, so that a hot key lies in many tasks, however many rows a frame has.
+    """
+    clash = {"frame_count", "frame_sum"} & set(df.columns)
+    if clash:
+        raise ValueError(f"there is a column {sorted(clash)[0]} already")
+    if width < 0:
+        raise ValueError("the width of a frame can't be under 0")
+    names = [f"_b{i}" for i in range(len(by))]
+    narrow = df.select(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)], F.col(order).cast("long").alias("_o"), F.col(value).alias("_x"))
+    steps = scan(narrow, names, "_o", "_x").groupBy(F.struct(*names).alias("_k"), "_o").agg(F.max("row_number").alias("_n"), F.max_by("running_sum", "row_number").alias("_s"))
+    steps = storage.materialise(steps, "steps")  # a row for each key and order: what all rows up to it come to
+    below = F.when(F.col("_o").isNotNull(), F.coalesce(F.try_subtract(F.col("_o"), F.lit(width + 1)), F.lit(_LEAST)))
+    earlier = steps.select("_k", F.coalesce("_o", F.lit(_LEAST)).alias("_below"), F.col("_n").alias("_n0"), F.col("_s").alias("_s0"))
+    found = asof_join(steps.withColumn("_below", below), earlier, ["_k"], "_below", ["_n0", "_s0"])
+    frames = found.select(
+        F.col("_k").alias("_fk"), F.col("_o").alias("_fat"),
+        (F.col("_n") - F.coalesce("_n0", F.lit(0))).alias("frame_count"), (F.col("_s") - F.coalesce("_s0", F.lit(0))).alias("frame_sum"),
+    )
+    rows = df.withColumns({"_rk": F.struct(*[F.col(c).alias(n) for c, n in zip(by, names, strict=True)]), "_rat": F.col(order).cast("long")})
+    return rows.join(frames, (F.col("_rk") == F.col("_fk")) & F.col("_rat").eqNullSafe(F.col("_fat"))).select(*df.columns, "frame_count", "frame_sum")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .operators.asof import asof_join
 from .operators.interval import interval_join
 from .operators.quantiles import quantiles
-from .operators.scan import scan
+from .operators.scan import range_frame, scan
 from .registry import query, table
 
 _WINDOWS = "SELECT event_id AS window_id, user_id, ts AS opened, ts + to_hours(CAST(1 + event_id % 40 AS INTEGER)) AS closed FROM events WHERE event_type = 'purchase'"
@@ -73,3 +75,53 @@ def hot_key_windows(spark, d):
     rows = table(spark, d, "events").select("event_id", u.alias("u"), F.date_trunc("hour", "ts").alias("h"), F.col("value").cast("double").alias("value"))
     found = scan(rows, ["u"], "h", "value", ["event_id"])
     return found.select("event_id", "u", "row_number", "rank", "dense_rank", F.round("running_sum", 4).alias("running_sum"), "previous")
+
+
+_HOT = "SELECT event_id, event_type, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS u, ts, value FROM events"
+
+
+def _hot_events(spark, d):
+    """Events of which one user has a third."""
+    return table(spark, d, "events").withColumn("u", F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")).cast("long"))
+
+
+@query(f"""WITH e AS ({_HOT}) SELECT event_id, u, CAST(count(*) OVER w AS BIGINT) AS frame_count, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS BIGINT) AS frame_sum
+  FROM e WINDOW w AS (PARTITION BY u ORDER BY epoch_us(ts) RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW)""")
+def hot_key_range_frames(spark, d):
+    """Events and cents of the day before each event, where one user has a third of all events."""
+    rows = _hot_events(spark, d).select("event_id", "u", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), F.round(F.col("value") * 100).cast("long").alias("cents"))
+    return range_frame(rows, ["u"], "at", "cents", 86_400_000_000).drop("at", "cents")
+
+
+@query(f"""WITH e AS ({_HOT}) SELECT l.event_id, l.u, p.value AS purchased, p.event_id AS purchase_id FROM (SELECT * FROM e WHERE event_type <> 'purchase') l
+  ASOF LEFT JOIN (SELECT u, ts, max(value) AS value, max_by(event_id, (value, event_id)) AS event_id FROM e WHERE event_type = 'purchase' GROUP BY ALL) p ON l.u = p.u AND l.ts >= p.ts""")
+def asof_hot_key(spark, d):
+    """The last purchase before each other event, where one user has a third of all events."""
+    e = _hot_events(spark, d)
+    bought = e.where("event_type = 'purchase'").select("u", "ts", F.col("value").alias("purchased"), F.col("event_id").alias("purchase_id"))
+    return asof_join(e.where("event_type <> 'purchase'").select("event_id", "u", "ts"), bought, ["u"], "ts", ["purchased", "purchase_id"]).drop("ts")
+
+
+@query("""SELECT l_returnflag, l_linestatus, CAST(grouping(l_returnflag, l_linestatus) AS BIGINT) AS level, count(*) AS lines, count(DISTINCT l_suppkey) AS suppliers, CAST(sum(l_quantity) AS DOUBLE) AS quantity
+  FROM lineitem GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_linestatus), ())""")
+def grouping_sets_lines(spark, d):
+    lines = table(spark, d, "lineitem")
+    sets = [("l_returnflag", "l_linestatus"), ("l_linestatus",), ()]
+    return lines.groupingSets([[F.col(c) for c in s] for s in sets], "l_returnflag", "l_linestatus").agg(
+        F.grouping_id().alias("level"), F.count("*").alias("lines"), F.count_distinct("l_suppkey").alias("suppliers"), F.sum("l_quantity").cast("double").alias("quantity")
+    )
+
+
+@query("""SELECT o_orderkey, rank() OVER p AS rank, ntile(4) OVER w AS quarter, round(percent_rank() OVER p, 9) AS place, lag(o_totalprice, 2) OVER w AS before, lead(o_orderkey) OVER w AS next_key,
+  first_value(o_totalprice) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 FOLLOWING) AS first_near, count(*) OVER (PARTITION BY o_custkey ORDER BY epoch_us(o_orderdate) // 86400000000 RANGE BETWEEN 365 PRECEDING AND CURRENT ROW) AS year
+  FROM orders WINDOW p AS (PARTITION BY o_custkey ORDER BY o_orderpriority), w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""")
+def order_windows(spark, d):
+    """Ranks, tiles, neighbours and frames of a customer's orders: keys are small, so these are Spark's own windows."""
+    days = F.unix_date(F.col("o_orderdate").cast("date"))
+    c = Window.partitionBy("o_custkey")
+    p, w = c.orderBy("o_orderpriority"), c.orderBy("o_orderdate", "o_orderkey")
+    return table(spark, d, "orders").select(
+        "o_orderkey", F.rank().over(p).alias("rank"), F.ntile(4).over(w).alias("quarter"), F.round(F.percent_rank().over(p), 9).alias("place"),
+        F.lag("o_totalprice", 2).over(w).alias("before"), F.lead("o_orderkey").over(w).alias("next_key"),
+        F.first("o_totalprice").over(w.rowsBetween(-3, 1)).alias("first_near"), F.count("*").over(c.orderBy(days).rangeBetween(-365, 0)).alias("year"),
+    )

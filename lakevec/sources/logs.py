@@ -4,7 +4,7 @@
 a task opens the files of its segments itself, and footers and headers are read without the values between them. On
 stores that only Spark can open, contents come from Spark's reader. A segment's columns are separate files of equal
 length; they are brought together by segment, once, and zipped by position in one task, so no column is joined to
-another.
+another. The task reads all columns in step, a batch of rows at a time, so its memory doesn't grow with the segment.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import io
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ META = (
     "post_header_lengths array<int>, extras map<string,string>, events int, rows long, bytes long"
 )
 STATS = "path string, segment_id long, field_id long, column string, rows long, nulls long, min string, max string"
+#: Rows of a segment that are in a worker's memory at a time.
+BATCH_ROWS = 8192
 DELETES = "pk string, ts long, collection_id long, partition_id long, segment_id long"
 
 
@@ -174,38 +177,59 @@ def read_segments(
     ts_field = Field("_ts", codec.FieldType.INT64, TS_FIELD)
     columns = ([ts_field] if with_system else []) + wanted
 
-    def zipped(key, table):
+    def zipped(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, segment = (k.as_py() for k in key)
         content: dict[int, list] = {}
-        for field_id, file, data in sorted(zip(table.column("field_id").to_pylist(), table.column("file").to_pylist(), table.column("content").to_pylist(), strict=True), key=lambda x: (x[0], _by_name(x[1]))):
+        found = [x for b in batches for x in zip(*(b.column(c).to_pylist() for c in ("field_id", "file", "content")), strict=True)]
+        for field_id, _, data in sorted(found, key=lambda x: (x[0], _by_name(x[1]))):
             content.setdefault(field_id, []).append(data)
-
-        def opened(data) -> bytes:
-            if not by_path:
-                return data
-            system, inner = storage.worker_fs(data)
-            with system.open_input_file(inner) as f:
-                return f.read()
-
-        arrays = {}
-        for f in columns:
-            if f.field_id in content:
-                parts = [codec.from_storage(codec.column_of(e), f) for data in content[f.field_id] for e in codec.read_events(opened(data)) if e.kind == codec.INSERT]
-                arrays[f.name] = pa.concat_arrays(parts) if parts else pa.array([], codec.arrow_type(f))
-        sizes = {k: len(v) for k, v in arrays.items()}
-        if len(set(sizes.values())) > 1:
-            raise ValueError(f"the columns of segment {segment} have different lengths: {sizes}")
-        n = next(iter(sizes.values()), 0)
         for f in columns:
-            if f.name not in arrays:
-                if not (f.nullable and nullable_missing) and f is not ts_field:
-                    raise ValueError(f"segment {segment} has no column {f.name}, which may not be null")
-                arrays[f.name] = pa.nulls(n, codec.arrow_type(f))
-        head = {"partition_id": pa.array([partition] * n, pa.int64()), "segment_id": pa.array([segment] * n, pa.int64()), "_ordinal": pa.array(range(n), pa.int64())}
-        return pa.table(head | {f.name: arrays[f.name] for f in columns})
+            if f.field_id not in content and not (f.nullable and nullable_missing) and f is not ts_field:
+                raise ValueError(f"segment {segment} has no column {f.name}, which may not be null")
+        there = {f.name: _Column(content[f.field_id], f, by_path) for f in columns if f.field_id in content}
+        done = 0
+        while ready := {name: c.ready() for name, c in there.items()}:
+            n = min(ready.values())
+            if not n:
+                if any(ready.values()):
+                    raise ValueError(f"the columns of segment {segment} have different lengths: after {done} rows {sorted(k for k, v in ready.items() if v)} go on")
+                break
+            head = [pa.array(np.full(n, x), pa.int64()) if x is not None else pa.nulls(n, pa.int64()) for x in (partition, segment)]
+            values = [there[f.name].take(n) if f.name in there else pa.nulls(n, codec.arrow_type(f)) for f in columns]
+            yield pa.RecordBatch.from_arrays([*head, pa.array(np.arange(done, done + n)), *values], names=out.names)
+            done += n
 
     return rows.groupBy("partition_id", "segment_id").applyInArrow(zipped, out)
 
 
+class _Column:
+    """The values of a column's files, one file after another, some at a time."""
+
+    def __init__(self, files: list, f: Field, by_path: bool):
+        self.parts, self.rest = self._read(files, f, by_path), None
+
+    @staticmethod
+    def _read(files: list, f: Field, by_path: bool) -> Iterator[pa.Array]:
+        for data in files:
+            if not by_path:
+                yield from codec.column_parts(io.BytesIO(data), len(data), f, BATCH_ROWS)
+                continue
+            system, inner = storage.worker_fs(data)
+            with system.open_input_file(inner) as opened:
+                yield from codec.column_parts(opened, opened.size(), f, BATCH_ROWS)
+
+    def ready(self) -> int:
+        """How many values can be taken now, 0 at the end."""
+        while not self.rest:
+            self.rest = next(self.parts, None)
+            if self.rest is None:
+                return 0
+        return len(self.rest)
+
+    def take(self, n: int) -> pa.Array:
+        out, self.rest = self.rest.slice(0, n), self.rest.slice(n)
+        return out
+
+
 def _by_name(name: str) -> tuple:
     return (0, int(name), "") if name.isdigit() else (1, 0, name)
