@@ -24,6 +24,10 @@ from .batches import Memo, map_texts, process_memo
 
 CAPACITY = 4096
 END_ID = 1
+#: ASCII signs that the tokenizer keeps apart from letters before them, without those of special tokens.
+SIGNS = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
+#: Strings of signs whose ids a worker keeps.
+MOST_SIGNS = 100_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -36,16 +40,20 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def word_encoder(path: str):
     """A function from chunks without space or line feed to their ids as little-endian 32-bit bytes.
 
-    Letters, with a full stop or comma at the end or without, are what nearly all chunks are. The tokenizer never joins
-    letters with those signs, so where its own normaliser (lower case, composed) leaves a word a string of letters, the
-    word and the sign have ids of their own, and words are encoded many at a time: every word's last token, and no
-    other, is one that ends a word in the vocabulary. All other chunks are encoded as they are.
+    Letters, with ASCII signs at the end or without, are what nearly all chunks are. The tokenizer never joins letters
+    with those signs, so where its own normaliser (composed, lower case) leaves a word a string of letters, the word and
+    the signs have ids of their own, and words are encoded many at a time: every word's last token, and no other, is one
+    that ends a word in the vocabulary. Latin-1 letters are composed, and all of them are letters to the tokenizer, so
+    their words, lowered, go through its model without its normaliser and pattern. A word that is ``known`` already isn't
+    encoded again for other signs. All other chunks are encoded as they are.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import numpy as np
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer, of_words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    of_words.normalizer = normalizers.Sequence([])
+    of_words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
     vocabulary = tokenizer.get_vocab()
     ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -55,11 +63,11 @@ def word_encoder(path: str):
     def each(chunks: list[str]) -> list[bytes]:
         return [little_endian(array("I", x.ids)) for x in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    def of_letters(words: list[str]) -> dict[str, bytes]:
+    def of_letters(words: list[str], encoder: Tokenizer) -> dict[str, bytes]:
         out = {}
         for at in range(0, len(words), 2000):
             some = words[at : at + 2000]
-            ids = array("I", tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids)
+            ids = array("I", encoder.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids)
             last = (np.flatnonzero(ends[np.frombuffer(ids, np.uint32)]) * 4 + 4).tolist()
             if len(last) == len(some) and last[-1] == 4 * len(ids):
                 raw = little_endian(ids)
@@ -68,25 +76,51 @@ def word_encoder(path: str):
                 out.update(zip(some, each(some), strict=True))
         return out
 
-    signs |= zip(".,", each([".", ","]), strict=True)
-
-    def encode(chunks: list[str]) -> list[bytes]:
-        split, words, odd = [], {}, []
+    def encode(chunks: list[str], known: dict[str, bytes] = {}) -> list[bytes]:  # noqa: B006
+        stems, tails, plain, other, odd = [], [], {}, {}, {}
         for chunk in chunks:
-            word, sign = (chunk[:-1], chunk[-1]) if chunk[-1:] in (".", ",") else (chunk, "")
-            if word.isalpha() and (lowered := word.lower() if word.isascii() else normal(word)).isalpha():
-                word = lowered if word.isascii() else word
-                words[word] = None
-                split.append((word, sign))
+            word = chunk.rstrip(SIGNS)
+            tail = chunk[len(word) :]
+            if word.isalpha():
+                if word.isascii():
+                    word = word.lower()
+                    if word not in known:
+                        plain[word] = None
+                elif word in known:
+                    pass
+                elif is_latin(word):
+                    word = word.lower()
+                    plain[word] = None
+                elif normal(word).isalpha():
+                    other[word] = None
+                else:
+                    word, tail = chunk, ""
+                    odd[word] = None
             else:
-                odd.append(chunk)
-                split.append((None, chunk))
-        words, others = of_letters(list(words)), dict(zip(odd, each(odd), strict=True))
-        return [others[sign] if word is None else words[word] + signs[sign] for word, sign in split]
+                word, tail = chunk, ""
+                odd[word] = None
+            stems.append(word)
+            tails.append(tail)
+        new = [t for t in set(tails) if t not in signs]
+        if len(signs) + len(new) > MOST_SIGNS:
+            signs.clear()
+            new = list(set(tails))
+        signs.update(zip(new, each(new), strict=True))
+        found = of_letters(list(plain), of_words) | of_letters(list(other), tokenizer)
+        found.update(zip(odd, each(list(odd)), strict=True))
+        return [(found[w] if w in found else known[w]) + signs[t] for w, t in zip(stems, tails, strict=True)]
 
     return encode
 
 
+def is_latin(word: str) -> bool:
+    try:
+        word.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def little_endian(ids) -> bytes:
     if sys.byteorder == "big":
         ids.byteswap()
@@ -111,11 +145,18 @@ def split_words(text: str | None) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def encoder_memo(path: str) -> Memo:
+    """Ids by chunk, in which the encoder finds words that it knows with other signs."""
+    encode = word_encoder(path)
+    memo = Memo(lambda chunks: encode(chunks, memo.known), 900_000)
+    return memo
+
+
 def piece_maker(path: str, capacity: int):
     """Per task: a function from (doc_id, text) to its pieces. Equal words are encoded once while the memo holds."""
 
     def make():
-        memo = process_memo(("packing", path), lambda: Memo(word_encoder(path), 900_000))
+        memo = process_memo(("packing", path), lambda: encoder_memo(path))
         end, width = END_ID.to_bytes(4, "little"), 4 * capacity
 
         def step(part: pa.RecordBatch) -> pa.RecordBatch:

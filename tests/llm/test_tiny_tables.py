@@ -44,6 +44,20 @@ def test_texts_alone(spark, model):
     assert html.render("a") == "a"
 
 
+def test_tokens_of_words_before_signs():
+    """Letters before any signs, against the tokenizer; a word that is known isn't encoded again for other signs."""
+    tokenizer = pytest.importorskip("tokenizers").Tokenizer.from_file(packing.tokenizer_path())
+    encode, r = packing.word_encoder(packing.tokenizer_path()), random.Random(3)
+    signs = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
+    letters = [chr(c) for c in range(65, 768) if chr(c).isalpha()]
+    chunks = ["don't,", "'s", "x's'", "<|pad|>", "a<|", "µ###", "ªº!", "ß$$$", "İ&&&", "Σ;"]
+    chunks += ["".join(r.choices(letters, k=r.randint(0, 9))) + "".join(r.choices(signs, k=r.randint(0, 4))) for _ in range(20_000)]
+    got = encode(chunks)
+    for chunk, ids, want in zip(chunks, got, tokenizer.encode_batch(chunks, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids, ascii(chunk)
+    assert encode(["word###", "Word!", "été,"], {"word": b"abcd", "été": b"efgh"}) == [b"abcd" + encode(["###"])[0], b"abcd" + encode(["!"])[0], b"efgh" + encode([","])[0]]
+
+
 def test_tokens_of_marks_and_signs():
     """Words of many scripts with combining marks before signs, against the tokenizer itself."""
     tokenizer = pytest.importorskip("tokenizers").Tokenizer.from_file(packing.tokenizer_path())
