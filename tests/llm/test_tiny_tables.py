@@ -8,12 +8,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import DATA
 from tests.llm.test_text_operators import components, shingles
 
 llm = pytest.importorskip("lakevec.llm")
-from lakevec.llm import exact_dedup, html, jaccard, linededup, packing, pieces, secrets, sharding, toxicity  # noqa: E402
+from lakevec.llm import common, exact_dedup, html, jaccard, linededup, packing, pieces, secrets, sharding, toxicity  # noqa: E402
 
 TEXTS = [None, "", "a", "ok", "abc", "abcd", "abcde", "abcdef", "abcdefg", "abcdefgh", "a b", "a b c", "a b c d", "a b c d e", "a b c d e f", ".", "\n", "İ.", "クラ"]
 
@@ -140,6 +141,43 @@ def test_models_are_distributions():
         assert abs(toxic - ordinary - model.evidence([w])[0]) < 1e-9
 
 
+def test_every_labelled_row_counts(spark):
+    """A word that only labelled rows beyond the 3,000 of smallest hash hold, and whole counts after frequent contexts."""
+    n = 6_000
+    rows = spark.range(2 * n).withColumn("toxic", (F.col("id") % 2).cast("int"))
+    rows = rows.withColumn("_fold", toxicity.fold(F.col("id"))).withColumn("r", F.expr("row_number() OVER (PARTITION BY toxic, _fold NOT IN (0, 4) ORDER BY xxhash64(id, 'toxicity'), id)"))
+    rare = F.when((F.col("r") > 3_000) & (F.col("toxic") == 1), F.lit(" zorgblat")).otherwise(F.lit(""))
+    rows = rows.select(F.col("id").alias("doc_id"), "toxic", "_fold", "r", F.concat(F.lit("plain words number "), F.col("id").cast("string"), rare).alias("text"))
+    rows = common.materialise(rows, "rows")
+    model = toxicity.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    counted = rows.where("_fold IN (1, 2, 3)")
+    assert counted.where("text LIKE '%zorgblat%'").count() > 0
+    assert model.counts.evidence(["zorgblat"])[0] > 1 > abs(model.counts.evidence(["plain"])[0])
+    key = toxicity.string_keys([chr(toxicity.START) + "z"])
+    assert model.counts.top[1](key)[1][0] == counted.where("text LIKE '%zorgblat%'").count()
+
+
+def test_grams_of_words(spark):
+    words, counts = ["idiot", "idiom", "clown", "a", "an", "downtowners"], ([0, 3, 1, 5, 2, 4], [4, 1, 3, 1, 0, 0])
+    df = spark.createDataFrame(list(zip(words, *counts, strict=True)), "word string, n0 long, n1 long")
+    found = toxicity.frequent_grams(df)
+    columns = [found.column(c).to_numpy() for c in ("n0", "n1")]
+    kinds = toxicity.kinds_of(words)
+    model = toxicity.KneserNey(words, *map(np.array, counts))
+    same = toxicity.KneserNey.of_grams(found.column("gram").to_pylist(), *columns, (kinds.k, kinds.key, kinds.context, np.ones(len(kinds.k))))
+    asked = [*words, "idiots", "xyz", "clowndown", ""]
+    assert np.allclose(model.evidence(asked), same.evidence(asked))
+    few = toxicity.frequent_grams(df, 10).to_pylist()  # after contexts that are a tenth of either class's places, or more
+    assert {g["gram"]: (g["n0"], g["n1"]) for g in few} == {g["gram"]: (g["n0"], g["n1"]) for g in found.to_pylist() if g["gram"] in {x["gram"] for x in few}}
+    assert 0 < len(few) < found.num_rows
+    contexts = toxicity.Contexts.within(sorted({g[:-1] for g in found.column("gram").to_pylist()}))
+    of_kinds = toxicity.Contexts.of(kinds)
+    for k in range(1, toxicity.ORDER):
+        assert set(contexts.tables[k].keys.tolist()) <= set(of_kinds.tables[k].keys.tolist())
+        at, hit = of_kinds.tables[k].find(contexts.tables[k].keys)
+        assert hit.all() and (of_kinds.shifted[k][at] == contexts.shifted[k]).all()
+
+
 def test_shared_counts_are_those_of_all_documents(spark):
     """Kinds in the distinct words of the whole table, restricted to the sample's contexts, against plain sets."""
     texts = ["idiot idiom", "the clown", "a clownish idiotic thing", None, "idiom " * 50]
