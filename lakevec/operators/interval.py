@@ -4,6 +4,9 @@ The axis is cut at quantiles of the points, so that bins hold equally many of th
 that it meets; a point is in one bin, so no pair comes twice. How many bins there are follows from the intervals: the most
 for which copies stay within a stated multiple of the input, counted in one pass for all candidates. A key's points in one
 bin may still be most of all; such heavy bins are dealt over parts, into each of which their intervals are copied.
+
+Where only aggregates of a point's intervals are wanted, ``interval_aggregate`` makes no pairs: points are numbered, an
+interval becomes the few blocks of numbers (of sizes 1, 2, 4, ...) that it is made of, and a point looks up its blocks.
 """
 
 from __future__ import annotations
@@ -14,11 +17,17 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scan import scan
+
 #: Bins that are tried, and copies of intervals that are made at most, as a multiple of all rows.
 BINS, COPIES = (2, 8, 32, 128, 512), 2.0
 #: Points of a key and bin that one task may get; more are dealt over parts. No fewer than a HEAVIEST-th of all points, so
 #: that the table of heavy bins, which is broadcast, has no more rows than that.
 POINTS, HEAVIEST = 200_000, 10_000
+#: Aggregates of intervals, and how those of parts are put together.
+FOLDS = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+#: Points are looked up in blocks of at most 2 ** BLOCK_BITS; larger ones are cut into such.
+BLOCK_BITS = 12
 
 
 def _chosen(cuts: list, n: int) -> list:
@@ -45,6 +54,12 @@ def _cuts(points: DataFrame, at: str, most: int) -> list:
     return sorted(set(found))
 
 
+def _axis(points: DataFrame, at: str):
+    """A function that makes whole numbers of dates and times."""
+    kind = points.schema[at].dataType.simpleString()
+    return {"timestamp": F.unix_micros, "timestamp_ntz": lambda c: F.unix_micros(c.cast("timestamp")), "date": F.unix_date}.get(kind, lambda c: c)
+
+
 def interval_join(
     points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, by: list[str] | None = None, how: str = "inner", bins: int | None = None, most_points: int = POINTS
 ) -> DataFrame:
@@ -61,8 +76,7 @@ def interval_join(
     clash = set(others) & set(points.columns)
     if clash:
         raise ValueError(f"both sides have a column {sorted(clash)[0]}")
-    kind = points.schema[at].dataType.simpleString()
-    turn = {"timestamp": F.unix_micros, "timestamp_ntz": lambda c: F.unix_micros(c.cast("timestamp")), "date": F.unix_date}.get(kind, lambda c: c)
+    turn = _axis(points, at)
     usable = reduce(and_, [F.col(c).isNotNull() for c in (*by, start, end)], F.col(start) < F.col(end))
     left = points.withColumns({"_at": turn(F.col(at)), "_row": F.monotonically_increasing_id()})
     right = intervals.where(usable).withColumns({"_from": turn(F.col(start)), "_to": turn(F.col(end))})
@@ -94,3 +108,58 @@ def interval_join(
     a, b = left.alias("a"), right.alias("b")
     on = reduce(and_, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*by, "_bin", "_part")], (F.col("b._from") <= F.col("a._at")) & (F.col("a._at") < F.col("b._to")))
     return a.join(b, on, how).select(*[F.col(f"a.`{c}`") for c in points.columns], *[F.col(f"b.`{c}`") for c in others])
+
+
+def _blocks(a: Column, b: Column) -> Column:
+    """The (size as a power of 2, place) of the aligned blocks that the numbers from ``a`` to ``b`` - 1 are made of: two of a size at most."""
+
+    def of_size(k: Column) -> Column:
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), k)
+        low, high = F.call_function("shiftright", a + one - 1, k), F.call_function("shiftright", b, k)
+        block = lambda test, place: F.when((low < high) & test, F.struct(k.alias("k"), place.alias("i")))
+        return F.array(block(low % 2 == 1, low), block(high % 2 == 1, high - 1))
+
+    return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.length(F.bin(b - a)) - 1), of_size)), lambda x: x.isNotNull())
+
+
+def interval_aggregate(
+    points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, aggs: dict[str, tuple[str, str]], by: list[str] | None = None, bits: int = BLOCK_BITS
+) -> DataFrame:
+    """``points`` with aggregates of the intervals of ``interval_join``, without points that no interval holds.
+
+    ``aggs`` has kind ("count", "sum", "min" or "max") and column ("*" to count) by name. The work grows with points and
+    intervals, by a factor of their logarithm, and not with the pairs: distinct points are numbered in their key by a
+    segmented scan, equal intervals are one, blocks of equal size and place are one. No task gets more than the points of
+    a block for a block, or a key as a whole; points of one place are looked up once and joined by that place.
+    """
+    by = by or []
+    clash = set(aggs) & set(points.columns)
+    if clash:
+        raise ValueError(f"there is a column {sorted(clash)[0]} already")
+    if wrong := [kind for kind, _ in aggs.values() if kind not in FOLDS]:
+        raise ValueError(f"no aggregate of kind {wrong[0]}")
+    turn, keys = _axis(points, at), [f"_k{i}" for i in range(len(by) or 1)]
+    own = [F.col(c).alias(k) for c, k in zip(by, keys, strict=False)] or [F.lit(0).alias("_k0")]
+    names = [f"_a{i}" for i in range(len(aggs))]
+    fold = [FOLDS[kind](n).alias(n) for n, (kind, _) in zip(names, aggs.values(), strict=True)]
+    places = points.where(reduce(and_, [F.col(c).isNotNull() for c in (*by, at)])).select(*own, turn(F.col(at)).alias("_x")).distinct()
+    usable = reduce(and_, [F.col(c).isNotNull() for c in (*by, start, end)], F.col(start) < F.col(end))
+    values = [(F.lit(1) if c == "*" else F.col(c)).alias(n) for n, (_, c) in zip(names, aggs.values(), strict=True)]
+    ranges = intervals.where(usable).select(*own, turn(F.col(start)).alias("_from"), turn(F.col(end)).alias("_to"), *values)
+    ranges = ranges.groupBy(*keys, "_from", "_to").agg(*[getattr(F, kind)(n).alias(n) for n, (kind, _) in zip(names, aggs.values(), strict=True)])
+
+    # in the order of a key's points and ends of intervals, an end before a point of its place: how many points came before
+    ends = ranges.select(*keys, F.explode(F.array("_from", "_to")).alias("_x"), F.lit(0).alias("_is"), "_from", "_to", *names)
+    ranked = scan(places.withColumn("_is", F.lit(1)).unionByName(ends, allowMissingColumns=True), keys, "_x", "_is", ["_is"])
+    numbered = ranked.where("_is = 1").select(*keys, "_x", (F.col("running_sum") - 1).alias("_r"))
+    spans = ranked.where("_is = 0").groupBy(*keys, "_from", "_to").agg(F.min("running_sum").alias("_a"), F.max("running_sum").alias("_b"), *[F.any_value(n).alias(n) for n in names]).where("_a < _b")
+
+    made = spans.select(*keys, *names, F.explode(_blocks(F.col("_a"), F.col("_b"))).alias("_n")).groupBy(*keys, "_n.k", "_n.i").agg(*fold)
+    over = F.greatest(F.col("k") - bits, F.lit(0))
+    cut = F.explode(F.sequence(F.call_function("shiftleft", F.col("i"), over), F.call_function("shiftleft", F.col("i") + 1, over) - 1))
+    small = made.select(*keys, F.least("k", F.lit(bits)).alias("_k"), cut.alias("_i"), *names).groupBy(*keys, "_k", "_i").agg(*fold)
+    asked = numbered.select(*keys, "_x", "_r", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("_k")).withColumn("_i", F.call_function("shiftright", "_r", F.col("_k")))
+    found = asked.join(small, [*keys, "_k", "_i"]).groupBy(*keys, "_x").agg(*fold)
+    rows = points.withColumns({"_y": turn(F.col(at)), **{f"_y{i}": F.col(c) for i, c in enumerate(by)}})
+    same = reduce(and_, [F.col(f"_y{i}") == F.col(f"_k{i}") for i in range(len(by))], F.col("_y") == F.col("_x"))
+    return rows.join(found, same).select(*points.columns, *[F.col(n).alias(name) for n, name in zip(names, aggs, strict=True)])

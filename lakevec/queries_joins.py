@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .operators.asof import asof_join
-from .operators.interval import interval_join
+from .operators.interval import interval_aggregate, interval_join
 from .operators.quantiles import quantiles
 from .operators.scan import range_frame, scan
 from .registry import query, table
@@ -41,12 +41,13 @@ def interval_join_unkeyed(spark, d):
 @query("""SELECT p.p_partkey, count(*) AS n, max(b.low) AS low FROM part p JOIN (SELECT c_custkey, floor(abs(c_acctbal)) AS low, floor(abs(c_acctbal)) + c_custkey % 200 AS high FROM customer) b
   ON p.p_retailprice >= b.low AND p.p_retailprice < b.high GROUP BY 1""")
 def interval_join_prices(spark, d):
-    """Prices in ranges of numbers."""
-    low = F.floor(F.abs("c_acctbal").cast("double"))
-    ranges = table(spark, d, "customer").select(low.cast("double").alias("low"), (low + F.col("c_custkey") % 200).cast("double").alias("high"))
+    """Prices in ranges of numbers: how many hold a price, and where the last of them begins."""
+    size = F.abs("c_acctbal").cast("double")
+    low = F.when(size < 2.0**52, F.floor(size).cast("double")).otherwise(size)  # whole from there on; NaN and infinity stay
+    ranges = table(spark, d, "customer").select(low.alias("low"), (low + F.col("c_custkey") % 200).alias("high"))
     prices = table(spark, d, "part").select("p_partkey", F.col("p_retailprice").cast("double").alias("price"))
-    both = interval_join(prices, ranges, "price", "low", "high")
-    return both.groupBy("p_partkey").agg(F.count("*").alias("n"), F.max("low").alias("low"))
+    held = interval_aggregate(prices, ranges, "price", "low", "high", {"n": ("count", "*"), "low": ("max", "low")})
+    return held.groupBy("p_partkey").agg(F.sum("n").alias("n"), F.max("low").alias("low"))
 
 
 _AT = (0.01, 0.25, 0.5, 0.75, 0.999)
