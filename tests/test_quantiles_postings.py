@@ -70,3 +70,51 @@ def test_less_than_half_is_touched(spark, tmp_path):
     found = postings.search(lists, df.where("id % 100 = 0").withColumnRenamed("id", "query_id"), 10)
     looked = found.select("query_id", "touched", "held").distinct().agg(F.sum("touched"), F.sum("held"), F.count("*")).first()
     assert looked[2] == 20 and looked[0] < 0.5 * looked[1]
+
+
+@pytest.mark.parametrize(("vocabulary", "tile", "portion"), [(20, 1024, 256), (20, 64, 7), (2000, 64, 16)])
+def test_many_queries_are_asked_together(monkeypatch, vocabulary, tile, portion):
+    """Both searches of a shard find the rows of all products, with equal scores to the last bit, copies and all."""
+    monkeypatch.setattr(postings, "TILE", tile)
+    monkeypatch.setattr(postings, "PORTION", portion)
+    r = np.random.default_rng(vocabulary + tile)
+    vector = lambda: dict(sorted((int(j), float(r.normal())) for j in r.choice(vocabulary, r.integers(1, 12), replace=False)))
+    vectors = [vector() for _ in range(600)]
+    vectors[::3] = [vectors[0]] * 200
+    vectors[7] = {0: 0.0}
+    ids = r.permutation(9000)[:600]
+    queries = [*[vector() for _ in range(60)], {10**6: 1.0}, {0: -1.0}, {}, vectors[0]]
+    row = np.repeat(np.arange(600), [len(v) for v in vectors])
+    table = postings._shard(0, ids, row, np.array([j for v in vectors for j in v]), np.array([x for v in vectors for x in v.values()]))
+
+    class Shared:
+        value = (np.arange(len(queries)), np.append(0, np.cumsum([len(q) for q in queries])), np.array([j for q in queries for j in q]), np.array([w for q in queries for w in q.values()]))
+
+    found = {}
+    for many in (0, 1000):
+        monkeypatch.setattr(postings, "MANY", many)
+        rows = postings._searcher(Shared, 7)(table).to_pylist()
+        looked = {x["query_id"]: (x["touched"], x["held"]) for x in rows if x["id"] is None}
+        assert all(a <= b for a, b in looked.values()) and len(looked) == len(queries)
+        found[many] = [sorted((-x["score"], x["id"]) for x in rows if x["query_id"] == q and x["id"] is not None) for q in range(len(queries))], {q: b for q, (_, b) in looked.items()}
+
+    def summed(v, q):  # sum() would make up for rounding
+        out = 0.0
+        for j in sorted(set(v) & set(q)):
+            out += q[j] * v[j]
+        return out
+
+    want = [sorted((-summed(v, q), int(i)) for i, v in zip(ids, vectors, strict=True) if set(v) & set(q))[:7] for q in queries]
+    assert found[0][0] == want and found[1000] == found[0]
+
+
+def test_many_queries_of_a_table(spark, tmp_path):
+    """What is found over shards is as without posting lists."""
+    df = spark.read.parquet(f"{DATA}/sf0.1/embeddings.parquet").select(F.col("vec_id").alias("id"), F.map_from_entries(F.filter(F.transform("embedding", lambda x, i: F.struct(i.cast("long").alias("key"), x.alias("value"))), lambda e: e["value"] > 0)).alias("vector"))
+    lists = postings.build(df, str(tmp_path / "lists"), shard_rows=900)
+    found = postings.search(lists, df.where("id % 40 = 0").withColumnRenamed("id", "query_id"), 10).collect()
+    x = np.maximum(np.array([r.embedding for r in spark.read.parquet(f"{DATA}/sf0.1/embeddings.parquet").orderBy("vec_id").select("embedding").collect()]), 0)
+    s = x[::40] @ x.T
+    assert len(found) == 500
+    assert {(f.query_id, f.rank): f.id for f in found} == {(40 * q, n + 1): int(i) for q in range(50) for n, i in enumerate(np.lexsort((np.arange(2000), -s[q]))[:10])}
+    assert all(np.isclose(f.score, s[f.query_id // 40, f.id]) and f.touched <= f.held for f in found)
