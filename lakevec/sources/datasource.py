@@ -236,11 +236,13 @@ class DeleteLog(DataSource):
 
     def reader(self, schema):
         def rows(path: str, data: bytes):
+            import io
+
             from lakevec.sources import codec
 
-            d = codec.read_descriptor(data)
-            for key, ts, _ in zip(*codec.delete_rows(data), strict=True):
-                yield (key, ts, d.collection_id, d.partition_id, d.segment_id)
+            for d, keys, stamps in codec.delete_parts(io.BytesIO(data), len(data), 8192):
+                for key, ts in zip(keys.to_pylist(), stamps.to_pylist(), strict=True):
+                    yield (key, ts, d.collection_id, d.partition_id, d.segment_id)
 
         return _Reader(self.options["path"], rows)
 

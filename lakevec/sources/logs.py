@@ -134,19 +134,35 @@ def read_deletes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     found = [x for p in paths for x in (storage.glob_files(spark, p) if re.search(r"[*?]", p) else [p])]
     if not found:
         return spark.createDataFrame([], DELETES)
-    return decode_deletes(files(spark, found))
+    if not all(storage.worker_can_open(x) for x in found):
+        return decode_deletes(files(spark, found))
+
+    def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, size in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                system, inner = storage.worker_fs(path)
+                with system.open_input_file(inner) as f:
+                    yield from _delete_batches(f, size)
+
+    return listed(spark, found).mapInArrow(here, DELETES)
+
+
+def _delete_batches(file, size: int) -> Iterator[pa.RecordBatch]:
+    for d, keys, stamps in codec.delete_parts(file, size, BATCH_ROWS):
+        ids = [pa.array(np.full(len(keys), x), pa.int64()) for x in (d.collection_id, d.partition_id, d.segment_id)]
+        yield pa.RecordBatch.from_arrays([keys, stamps, *ids], names=["pk", "ts", "collection_id", "partition_id", "segment_id"])
 
 
 def decode_deletes(contents: DataFrame) -> DataFrame:
     """The same for rows (path, content), also of a stream."""
 
-    def step(path: str, content: bytes) -> pa.RecordBatch:
-        d = codec.read_descriptor(content)
-        keys, stamps, _ = codec.delete_rows(content)
-        ids = [pa.array([x] * len(keys), pa.int64()) for x in (d.collection_id, d.partition_id, d.segment_id)]
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(stamps, pa.int64()), *ids], names=["pk", "ts", "collection_id", "partition_id", "segment_id"])
+    def given(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                data = content.as_py()
+                yield from _delete_batches(io.BytesIO(data), len(data))
 
-    return contents.mapInArrow(_decode(step), DELETES)
+    return contents.mapInArrow(given, DELETES)
 
 
 def read_segments(

@@ -1,3 +1,4 @@
+import io
 import json
 import struct
 
@@ -250,3 +251,35 @@ def test_paths(spark, tmp_path):
     assert len(storage.glob_files(spark, f"{tmp_path}/?.parquet")) == 2
     assert storage.scheme_of("s3a://b/k") == "s3a" and storage.scheme_of("/x") == "file"
     assert storage.without_bucket("s3a://b/k/l") == "k/l" and storage.for_import("s3a://b/k") == "s3://b/k"
+
+
+def test_large_delete_logs_have_several_files(spark, tmp_path):
+    """A segment's deletes are in files of at most so many rows, even those of one key and time; small ones have one file."""
+    hot = spark.range(3000).select(F.lit(1).cast("long").alias("partition_id"), F.lit(5).cast("long").alias("segment_id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("pk"), F.when(F.col("id") % 3 == 0, 8).otherwise(F.col("id") * 10).alias("ts"))
+    small = spark.createDataFrame([(-1, 6, 3, 30), (-1, 6, None, 31), (-1, 7, 4, 40)], "partition_id long, segment_id long, pk long, ts long")
+    both = hot.unionByName(small).repartition(3)
+    files = column_log.encode_deletes(both, 7, most_rows=200)
+    made = column_log.write_files(files, str(tmp_path), 7, "delta_log")
+    there = sorted((tmp_path / "delta_log/7").glob("*/*/*"))
+    assert made == len(there) and [str(p.relative_to(tmp_path / "delta_log/7")) for p in there if p.parts[-3] == "-1"] == ["-1/6/0", "-1/7/0"]
+    sizes = {p.name: len(codec.delete_rows(p.read_bytes())[0]) for p in there if p.parts[-3] == "1"}
+    assert sum(sizes.values()) == 3000 and max(sizes.values()) <= 200 and len(sizes) < 40
+    of = codec.read_descriptor(there[0].read_bytes())
+    assert (of.collection_id, of.field_id, of.payload_type) == (7, 0, int(FieldType.STRING))
+    rows = lambda x: sorted((str(r.pk), r.ts, r.partition_id, r.segment_id) for r in x.select("pk", "ts", "partition_id", "segment_id").collect())
+    assert rows(logs.read_deletes(spark, f"{tmp_path}/delta_log/7")) == rows(both)
+    assert rows(logs.decode_deletes(logs.files(spark, f"{tmp_path}/delta_log/7"))) == rows(both)
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # numbers are dealt, texts are made after
+
+
+def test_deletes_are_read_in_parts():
+    """No more rows than asked for are in memory at a time, over events of all forms."""
+    texts = pa.table({"val": [f'{{"pk":{i},"ts":{i + 5},"pkType":5}}' for i in range(1000)]})
+    odd = pa.table({"val": ['{"pk":1,"ts":2,"pkType":5}', '{"pk":"x","ts":3}', '{"ts":4}', None, '{"pk":1.50,"ts":7}', '{"pk":-0,"ts":6}', '{"pk":123456789012345678901234567890,"ts":9}']})
+    data = codec.encode_events([(codec.DELETE, texts), (codec.DELETE, odd), (codec.DELETE, pa.table({"pk": [5, None], "ts": [None, 4]}))], of())
+    parts = list(codec.delete_parts(io.BytesIO(data), len(data), 64))
+    assert max(len(k) for _, k, _ in parts) <= 64
+    got = [x for _, k, t in parts for x in zip(k.to_pylist(), t.to_pylist(), strict=True)]
+    end = of().end_ts
+    assert got == [(str(i), i + 5) for i in range(1000)] + [("1", 2), ("x", 3), (None, 4), (None, end), ("1.5", 7), ("0", 6), ("123456789012345678901234567890", 9), ("5", end), (None, 4)]
