@@ -18,6 +18,8 @@ _FILE = "partition_id long, segment_id long, field_id long, content binary"
 _NUMBERED = "partition_id long, segment_id long, field_id long, file long, content binary"
 #: Deletes that one file has at most, which is what a task holds of them.
 DELETE_ROWS = 200_000
+#: How files are staged: they are compressed already, and pages and row groups end by their bytes, however few files that is.
+_STAGED = {"compression": "none", "parquet.page.size.row.check.min": "1", "parquet.block.size": str(32 << 20)}
 
 
 def encode_segments(rows: DataFrame, schema: CollectionSchema, collection_id: int) -> DataFrame:
@@ -90,7 +92,9 @@ def write_files(files: DataFrame, base: str, collection_id: int, kind: str = "in
     """
     if not storage.worker_can_open(base):
         raise ValueError(f"column logs can't be written to {base}")
-    staged = storage.materialise(files, "files")
+    place = storage.scratch(files.sparkSession, "files")
+    files.write.options(**_STAGED).parquet(place)
+    staged = files.sparkSession.read.schema(files.schema).parquet(place)
     target = F.concat_ws("/", F.lit(base.rstrip("/")), F.lit(kind), F.lit(str(collection_id)), "partition_id", "segment_id", *(["segment_id"] if nested else []), *(["field_id"] if kind == "insert_log" else []), F.col("file").cast("string") if "file" in staged.columns else F.lit("0"))
     put = staged.select(target.alias("path"), "content")
 
